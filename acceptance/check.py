@@ -7,7 +7,6 @@ import time
 from pathlib import Path
 
 import duckdb
-import pandas as pd
 from pyspark.sql import SparkSession
 
 from acceptance import CASES
@@ -27,35 +26,33 @@ def oracle_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
-def _sorted(frame: pd.DataFrame) -> pd.DataFrame:
-    names = sorted(frame.columns)
-    return frame[names].sort_values(names, na_position="first", kind="stable").reset_index(drop=True)
+SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+def _ordered(rows: list[tuple], names: list[str]) -> list[tuple]:
+    order = sorted(range(len(names)), key=names.__getitem__)
+    return sorted((tuple(row[i] for i in order) for row in rows), key=repr)
 
 
 def difference(spark: SparkSession, connection: duckdb.DuckDBPyConnection, name: str, sf_dir: str) -> str | None:
-    """None when rows, column names, types and values agree; otherwise what differs first."""
+    """None when column names, types, rows and values agree; otherwise what differs first."""
     case = CASES[name]
-    actual = _sorted(case.run(spark, sf_dir).toPandas())
+    frame = case.run(spark, sf_dir)
+    actual = _ordered([tuple(row) for row in frame.collect()], frame.columns)
+    if not actual:
+        return "no rows"
     if case.sql is None:
-        return None if len(actual) else "no rows"
-    expected = _sorted(connection.sql(case.sql).df())
-    if list(actual.columns) != list(expected.columns):
-        return f"columns {list(actual.columns)} != {list(expected.columns)}"
+        return None
+    relation = connection.sql(case.sql)
+    found = {column: SQL_TYPES.get(dtype, dtype) for column, dtype in frame.dtypes}
+    wanted = dict(zip(relation.columns, map(str, relation.types)))
+    if found != wanted:
+        return f"columns {sorted(found.items())} != {sorted(wanted.items())}"
+    expected = _ordered(relation.fetchall(), relation.columns)
     if len(actual) != len(expected):
         return f"{len(actual)} rows != {len(expected)}"
-    if not len(actual):
-        return "no rows"
-    for column in actual.columns:
-        left, right = actual[column], expected[column]
-        if left.dtype != right.dtype and not (left.dtype.kind in "OT" and right.dtype.kind in "OT"):
-            both_numeric_with_null = left.isna().any() and left.dtype.kind == "f" and right.dtype.kind == "f"
-            if not both_numeric_with_null:
-                return f"{column}: type {left.dtype} != {right.dtype}"
-        unequal = ~((left == right) | (left.isna() & right.isna()))
-        if unequal.any():
-            row = unequal.idxmax()
-            return f"{column}: {unequal.sum()} values differ, first {left[row]!r} != {right[row]!r}"
-    return None
+    unequal = [(left, right) for left, right in zip(actual, expected) if left != right]
+    return f"{len(unequal)} rows differ, first {unequal[0][0]} != {unequal[0][1]}" if unequal else None
 
 
 def main(arguments: list[str]) -> int:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 
 from solvind.operators.layout import write_table
 from solvind.operators.pruning import BROADCAST_ROWS, any_of, same_keys, semi_join, value_counts
@@ -13,15 +13,19 @@ from solvind.sources.tables import load_or_empty
 
 
 def not_in_target(
-    df: DataFrame, target: DataFrame, keys: Sequence[str], partition_by: Sequence[str]
+    df: DataFrame,
+    target: DataFrame,
+    keys: Sequence[str],
+    partition_by: Sequence[str],
+    counts: list[Row] | None,
 ) -> DataFrame:
-    """Rows of `df` whose key the target does not hold. `partition_by` must be functions of the keys.
+    """Rows of `df` whose key the target does not hold. `partition_by` must be functions of the keys and
+    `counts` the rows of `df` per partition (None when there are too many partitions to list).
 
-    One pass over `df` counts rows per partition. Only those partitions of the target are read, and only
-    the key columns. A small batch is broadcast to the target scan, so history is never shuffled; a large
-    one is joined by shuffle on the keys, which are unique on both sides and therefore not skewed.
+    Only those partitions of the target are read, and only the key columns. A small batch is broadcast to
+    the target scan, so history is never shuffled; a large one is joined by shuffle on the keys, which are
+    unique on both sides and therefore not skewed.
     """
-    counts = value_counts(df, partition_by)
     known = target if counts is None else target.filter(any_of(counts, partition_by))
     known = known.select(*keys)
     total = None if counts is None else sum(row["_rows"] for row in counts)
@@ -36,11 +40,16 @@ def append_new(
     keys: Sequence[str] = OBSERVATION_KEY,
     partition_by: Sequence[str] = HISTORY_PARTITIONS,
 ) -> dict[str, int]:
-    """Append the rows of `df` (unique per key) that the table at `path` lacks; returns rows written."""
+    """Append the rows of `df` (unique per key) that the table at `path` lacks.
+
+    Returns `unique` (rows offered) and `rows` (rows written).
+    """
     batch = df.persist()
     try:
+        counts = value_counts(batch, partition_by)
+        offered = batch.count() if counts is None else sum(row["_rows"] for row in counts)
         target = load_or_empty(df.sparkSession, path, df.schema)
-        fresh = not_in_target(batch, target, keys, partition_by)
-        return write_table(fresh, path, partition_by, mode="append")
+        fresh = not_in_target(batch, target, keys, partition_by, counts)
+        return {"unique": offered, **write_table(fresh, path, partition_by, mode="append")}
     finally:
         batch.unpersist()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -41,8 +41,14 @@ def landing_as_history(
 
 
 def consolidate(deliveries: DataFrame, history_path: str) -> dict[str, int]:
-    """Move landing rows to history: latest delivery per observation, only observations history lacks."""
-    return append_new(dedup(deliveries), history_path, partition_by=HISTORY_PARTITIONS)
+    """Move landing rows to history: latest delivery per observation, only observations history lacks.
+
+    Returns rows read, unique observations among them, and rows written, all counted by the run itself.
+    """
+    seen = Observation()
+    observed = deliveries.observe(seen, F.count(F.lit(1)).alias("read"))
+    counts = append_new(dedup(observed), history_path, partition_by=HISTORY_PARTITIONS)
+    return {"read": seen.get.get("read", 0), **counts}
 
 
 def build_silver(
