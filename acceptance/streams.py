@@ -1,0 +1,126 @@
+"""Structured Streaming runs that drain what is there and are read back as tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from acceptance.base import case, messages, over_weather, weather
+from acceptance.rows import READABLE
+from solvind.operators.messages import flatten_messages, parse_messages, split_malformed
+from solvind.sources import message_source, read_table
+from solvind.streaming import ingest
+from solvind.workspace import fresh_path
+
+SPLIT = 1_705_708_800  # 2024-01-20 00:00 UTC
+
+
+def _arrival():
+    """Five minutes after the observation, so that partitions do not depend on the clock."""
+    return F.timestamp_seconds(F.col("data.dt") + 300)
+
+
+def _publish(rows, topic_dir: str) -> None:
+    """Put messages where the file stand-in for a topic looks for them."""
+    messages(rows).write.mode("append").parquet(topic_dir)
+
+
+def _drain(rows, path: str, checkpoint: str, partition_by=ingest.LANDING_PARTITIONS) -> None:
+    query = ingest.start_ingest(rows, path, checkpoint, every=None, partition_by=partition_by)
+    query.awaitTermination()
+
+
+TOPIC = "'weather_' || lower(city) AS topic"
+
+
+@case(over_weather(f"SELECT {TOPIC}, count(*) AS mensajes, count(*) FILTER ({READABLE}) AS legibles FROM weather GROUP BY ALL"))
+def stream_kafka_shape(spark, sf_dir):
+    """Messages as the source delivers them: binary value and topic."""
+    topic_dir, path = fresh_path(spark, "topic"), fresh_path(spark, "raw")
+    _publish(weather(spark, sf_dir), topic_dir)
+    raw = message_source(spark, "files", path=topic_dir)
+    _drain(raw, path, fresh_path(spark, "checkpoint"), partition_by=["topic"])
+    text = F.col("value").cast("string")
+    return (
+        read_table(spark, path)
+        .groupBy("topic")
+        .agg(F.count(F.lit(1)).alias("mensajes"), F.count_if(text.startswith("{\"")).alias("legibles"))
+    )
+
+
+@case(
+    over_weather(
+        f"""SELECT dt, lat, lon, temp, pressure, humidity, wind_speed, wind_deg, clouds, city AS city_name, {TOPIC}
+        FROM weather WHERE {READABLE}"""
+    )
+)
+def stream_parse_flatten(spark, sf_dir):
+    topic_dir, path = fresh_path(spark, "topic"), fresh_path(spark, "flat")
+    _publish(weather(spark, sf_dir), topic_dir)
+    good, _ = split_malformed(parse_messages(message_source(spark, "files", path=topic_dir)))
+    _drain(flatten_messages(good), path, fresh_path(spark, "checkpoint"), partition_by=["topic"])
+    return read_table(spark, path).drop("ingestion_timestamp")
+
+
+LANDED = f"""SELECT {TOPIC}, CAST(year(arrived) AS INTEGER) AS year, CAST(month(arrived) AS INTEGER) AS month,
+  CAST(day(arrived) AS INTEGER) AS day, count(*) AS filas, min(dt) AS desde, max(dt) AS hasta,
+  CAST(sum(wind_deg) AS BIGINT) AS grados
+  FROM (SELECT *, make_timestamp((dt + 300) * 1000000) AS arrived FROM weather WHERE {READABLE}) GROUP BY ALL"""
+
+
+def _landed_summary(spark, path: str):
+    return (
+        read_table(spark, path)
+        .groupBy("topic", "year", "month", "day")
+        .agg(
+            F.count(F.lit(1)).alias("filas"),
+            F.min("dt").alias("desde"),
+            F.max("dt").alias("hasta"),
+            F.sum("wind_deg").alias("grados"),
+        )
+    )
+
+
+@case(over_weather(LANDED))
+def stream_parquet_append(spark, sf_dir):
+    topic_dir, path = fresh_path(spark, "topic"), fresh_path(spark, "landing")
+    _publish(weather(spark, sf_dir), topic_dir)
+    rows = ingest.landing_rows(message_source(spark, "files", path=topic_dir), _arrival())
+    _drain(rows, path, fresh_path(spark, "checkpoint"))
+    return _landed_summary(spark, path)
+
+
+@case(over_weather(LANDED))
+def stream_restart_exactly_once(spark, sf_dir):
+    """Three runs on one checkpoint: first half, second half, nothing new."""
+    topic_dir, path, checkpoint = (fresh_path(spark, name) for name in ("topic", "landing", "checkpoint"))
+    rows = weather(spark, sf_dir)
+
+    def run() -> None:
+        source = message_source(spark, "files", path=topic_dir)
+        _drain(ingest.landing_rows(source, _arrival()), path, checkpoint)
+
+    _publish(rows.filter(F.col("dt") < SPLIT), topic_dir)
+    run()
+    _publish(rows.filter(F.col("dt") >= SPLIT), topic_dir)
+    run()
+    run()
+    return _landed_summary(spark, path)
+
+
+@case(over_weather(f"SELECT DISTINCT dt, lat, lon, {TOPIC} FROM weather WHERE {READABLE}"))
+def stream_dedup_watermark(spark, sf_dir):
+    """Every message arrives twice, then the topic is replayed: one row per observation remains."""
+    topic_dir, path, checkpoint = (fresh_path(spark, name) for name in ("topic", "landing", "checkpoint"))
+    rows = weather(spark, sf_dir)
+
+    def run() -> None:
+        landed = ingest.landing_rows(message_source(spark, "files", path=topic_dir), _arrival())
+        unique = ingest.dedup_within_watermark(landed)
+        _drain(unique, path, checkpoint)
+
+    _publish(rows, topic_dir)
+    _publish(rows, topic_dir)
+    run()
+    _publish(rows, topic_dir)
+    run()
+    return read_table(spark, path).select("dt", "lat", "lon", "topic")
