@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+SECONDS_PER_HOUR = 3_600
+SECONDS_PER_DAY = 86_400
+
 
 def epoch_to_timestamp(epoch: Column, tz: str = "UTC") -> Column:
     """Session zone must be UTC; another `tz` shifts to that site's wall clock."""
@@ -12,6 +15,29 @@ def epoch_to_timestamp(epoch: Column, tz: str = "UTC") -> Column:
     return stamp if tz == "UTC" else F.from_utc_timestamp(stamp, tz)
 
 
+def local_seconds(epoch: Column, tz: str = "UTC") -> Column:
+    """Epoch seconds moved to the wall clock of `tz`."""
+    return epoch if tz == "UTC" else F.unix_seconds(epoch_to_timestamp(epoch, tz))
+
+
+def hour_start(epoch: Column, tz: str = "UTC") -> Column:
+    """First second of the hour. One integer stands for year, month, day and hour as a grouping key."""
+    seconds = local_seconds(epoch, tz)
+    return seconds - F.pmod(seconds, F.lit(SECONDS_PER_HOUR))
+
+
+def hour_of_day(hour_start: Column) -> Column:
+    return F.floor(F.pmod(hour_start, F.lit(SECONDS_PER_DAY)) / SECONDS_PER_HOUR).cast("int")
+
+
+def observed_day(epoch: Column, tz: str = "UTC") -> Column:
+    return epoch_to_timestamp(epoch, tz).cast("date")
+
+
+def month_start(day: Column) -> Column:
+    return F.trunc(day, "MM")
+
+
 def add_time_parts(df: DataFrame, epoch: str = "dt", tz: str = "UTC") -> DataFrame:
     """Add timestamp, year, month, day, hour and the `yyyy-MM-dd` date string.
 

@@ -39,16 +39,19 @@ def append_new(
     path: str,
     keys: Sequence[str] = OBSERVATION_KEY,
     partition_by: Sequence[str] = HISTORY_PARTITIONS,
+    target: DataFrame | None = None,
 ) -> dict[str, int]:
-    """Append the rows of `df` (unique per key) that the table at `path` lacks.
+    """Append the rows of `df` (unique per key) that the table at `path` lacks. `target` is that table,
+    if the caller has already opened it.
 
     Returns `unique` (rows offered) and `rows` (rows written).
     """
+    if target is None:
+        target = load_or_empty(df.sparkSession, path, df.schema)
     batch = df.persist()
     try:
         counts = value_counts(batch, partition_by)
         offered = batch.count() if counts is None else sum(row["_rows"] for row in counts)
-        target = load_or_empty(df.sparkSession, path, df.schema)
         fresh = not_in_target(batch, target, keys, partition_by, counts)
         return {"unique": offered, **write_table(fresh, path, partition_by, mode="append")}
     finally:

@@ -23,6 +23,11 @@ def value_counts(df: DataFrame, columns: Sequence[str], limit: int = LISTED_VALU
 
 def any_of(rows: Sequence[Row], columns: Sequence[str]) -> Column:
     """Predicate for the listed combinations; on partition columns it prunes folders."""
+    if len(columns) == 1:
+        (name,) = columns
+        values = [row[name] for row in rows]
+        listed = F.col(name).isin([value for value in values if value is not None])
+        return listed | F.col(name).isNull() if None in values else listed
 
     def equals(name: str, value: object) -> Column:
         return F.col(name).isNull() if value is None else F.col(name) == F.lit(value)

@@ -12,38 +12,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from solvind.functions import conditions, energy
-from solvind.functions.calendar import add_time_parts
+from solvind.functions.calendar import epoch_to_timestamp, hour_of_day, hour_start, month_start, observed_day
 from solvind.operators.layout import write_table
 from solvind.operators.ranking import LABELLED_DAYS, day_label, rank_both_ways
-from solvind.plans.rollup import DAY, MONTH, coarsen, mean, rollup
+from solvind.plans.rollup import PERIOD, by_day, by_month, days_to_months, mean, period_columns
 
-HOUR = ("city", "year", "month", "day", "hour")
+DAY = ("date", "year", "month", "day")
 
 
 def potencial_solar(silver: DataFrame, tz: str = "UTC") -> DataFrame:
     """Solar potential per site and hour."""
-    rows = add_time_parts(silver, tz=tz)
-    potential = energy.solar_kwh(F.col("uv_index"), F.col("clouds"), F.col("hour"))
-    rows = rows.select(*HOUR, potential.alias("_potential"), "uv_index", "clouds", "temp")
-    return rows.groupBy(*HOUR).agg(
+    start = hour_start(F.col("dt"), tz)
+    potential = energy.solar_kwh(F.col("uv_index"), F.col("clouds"), hour_of_day(start))
+    rows = silver.select("city", start.alias("_start"), potential.alias("_potential"), "uv_index", "clouds", "temp")
+    hourly = rows.groupBy("city", "_start").agg(
         F.avg("_potential").alias("potencial_solar_promedio"),
         F.max("_potential").alias("potencial_solar_maximo"),
         F.avg("uv_index").alias("uv_index_promedio"),
         F.avg("clouds").alias("nubosidad_promedio"),
         F.avg("temp").alias("temperatura_promedio"),
     )
-
-
-def day_rollup(silver: DataFrame, tz: str = "UTC") -> DataFrame:
-    return rollup(add_time_parts(silver, tz=tz), DAY)
+    day = epoch_to_timestamp(F.col("_start")).cast("date")
+    return hourly.select(
+        "city",
+        F.year(day).alias("year"),
+        F.month(day).alias("month"),
+        F.dayofmonth(day).alias("day"),
+        hour_of_day(F.col("_start")).alias("hour"),
+        "potencial_solar_promedio",
+        "potencial_solar_maximo",
+        "uv_index_promedio",
+        "nubosidad_promedio",
+        "temperatura_promedio",
+    )
 
 
 def _wind(daily: DataFrame) -> DataFrame:
     return daily.select(
-        "city",
-        "year",
-        "month",
-        "day",
+        *period_columns("year", "month", "day"),
         mean("power").alias("potencial_eolico_promedio_w"),
         F.col("max_power").alias("potencial_eolico_maximo_w"),
         mean("speed").alias("velocidad_viento_promedio"),
@@ -56,22 +62,22 @@ def _wind(daily: DataFrame) -> DataFrame:
 def potencial_eolico(silver: DataFrame, tz: str = "UTC") -> DataFrame:
     """Wind power per site and day. The direction is the arithmetic mean the published table has;
     `wind_direction` gives the circular one."""
-    return _wind(day_rollup(silver, tz))
+    return _wind(by_day(silver, tz))
 
 
 def wind_direction(silver: DataFrame, tz: str = "UTC") -> DataFrame:
     """Circular mean wind direction per site and day, next to the arithmetic one."""
     angle = F.radians(F.col("wind_deg").cast("double"))
-    rows = add_time_parts(silver, tz=tz).select(
-        "city", "year", "month", "day", "wind_deg", F.sin(angle).alias("_sin"), F.cos(angle).alias("_cos")
+    day = observed_day(F.col("dt"), tz).alias(PERIOD)
+    rows = silver.select("city", day, "wind_deg", F.sin(angle).alias("_sin"), F.cos(angle).alias("_cos"))
+    means = rows.groupBy("city", PERIOD).agg(
+        F.avg("wind_deg").alias("direccion_viento_promedio"), F.avg("_sin").alias("_sin"), F.avg("_cos").alias("_cos")
     )
-    means = rows.groupBy("city", "year", "month", "day").agg(
-        F.avg("wind_deg").alias("direccion_viento_promedio"),
-        F.avg("_sin").alias("_sin"),
-        F.avg("_cos").alias("_cos"),
+    return means.select(
+        *period_columns("year", "month", "day"),
+        "direccion_viento_promedio",
+        energy.circular_mean_degrees(F.col("_sin"), F.col("_cos")).alias("direccion_viento_circular"),
     )
-    circular = energy.circular_mean_degrees(F.col("_sin"), F.col("_cos"))
-    return means.withColumn("direccion_viento_circular", circular).drop("_sin", "_cos")
 
 
 def classify(silver: DataFrame) -> DataFrame:
@@ -87,24 +93,30 @@ def classify(silver: DataFrame) -> DataFrame:
 
 def condiciones_criticas(silver: DataFrame, tz: str = "UTC") -> DataFrame:
     """How often each combination of output-reducing conditions occurs per site and month."""
-    keys = ("city", "year", "month", *conditions.LABEL_COLUMNS)
-    counted = (
-        classify(add_time_parts(silver, tz=tz))
-        .groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("ocurrencias"),
-            F.avg("temp").alias("temperatura_promedio"),
-            F.avg("humidity").alias("humedad_promedio"),
-            F.avg("clouds").alias("nubosidad_promedio"),
-            F.avg("wind_speed").alias("viento_promedio"),
-        )
+    labels = conditions.LABEL_COLUMNS
+    rows = classify(silver).withColumn(PERIOD, month_start(observed_day(F.col("dt"), tz)))
+    counted = rows.groupBy("city", PERIOD, *labels).agg(
+        F.count(F.lit(1)).alias("ocurrencias"),
+        F.avg("temp").alias("temperatura_promedio"),
+        F.avg("humidity").alias("humedad_promedio"),
+        F.avg("clouds").alias("nubosidad_promedio"),
+        F.avg("wind_speed").alias("viento_promedio"),
+    )
+    reduced = counted.filter(conditions.any_reduction())
+    return reduced.select(
+        *period_columns("year", "month"),
+        *labels,
+        "ocurrencias",
+        "temperatura_promedio",
+        "humedad_promedio",
+        "nubosidad_promedio",
+        "viento_promedio",
     )
-    return counted.filter(conditions.any_reduction())
 
 
 def _comparison(monthly: DataFrame) -> DataFrame:
     return monthly.select(
-        *MONTH,
+        *period_columns("year", "month"),
         mean("solar_estimate").alias("potencial_solar_promedio"),
         F.col("max_uv").alias("uv_index_maximo"),
         mean("clouds").alias("nubosidad_promedio"),
@@ -120,12 +132,12 @@ def _comparison(monthly: DataFrame) -> DataFrame:
 
 def analisis_comparativo(silver: DataFrame, tz: str = "UTC") -> DataFrame:
     """Monthly comparison of sites."""
-    return _comparison(rollup(add_time_parts(silver, tz=tz), MONTH))
+    return _comparison(by_month(silver, tz))
 
 
 def _scores(daily: DataFrame) -> DataFrame:
     means = daily.select(
-        *DAY,
+        *period_columns(*DAY),
         mean("uv").alias("uv_promedio"),
         mean("speed").alias("viento_promedio"),
         mean("clouds").alias("nubosidad_promedio"),
@@ -139,7 +151,7 @@ def _scores(daily: DataFrame) -> DataFrame:
 
 def daily_scores(silver: DataFrame, tz: str = "UTC") -> DataFrame:
     """Day means and the solar, wind and total score of each site and day."""
-    return _scores(day_rollup(silver, tz))
+    return _scores(by_day(silver, tz))
 
 
 def _ranking(daily: DataFrame, n: int = LABELLED_DAYS, drop_null_scores: bool = False) -> DataFrame:
@@ -150,6 +162,7 @@ def _ranking(daily: DataFrame, n: int = LABELLED_DAYS, drop_null_scores: bool =
     ranked = rank_both_ways(scored, ["city"], "score_total", "date")
     listed = ranked.filter((F.col("rank_mejor") <= n) | (F.col("rank_peor") <= n))
     return listed.withColumn("tipo_dia", day_label(n)).select(
+        "city",
         *DAY,
         "score_total",
         "score_solar",
@@ -168,7 +181,7 @@ def ranking_dias(
     silver: DataFrame, n: int = LABELLED_DAYS, tz: str = "UTC", drop_null_scores: bool = False
 ) -> DataFrame:
     """The n best and n worst days per site. Equal scores rank by date; days without a score are worst."""
-    return _ranking(day_rollup(silver, tz), n, drop_null_scores)
+    return _ranking(by_day(silver, tz), n, drop_null_scores)
 
 
 @dataclass(frozen=True)
@@ -183,7 +196,7 @@ GOLD_TABLES = {
     "potencial_eolico": GoldTable(("city", "year", "month"), potencial_eolico, _wind),
     "condiciones_criticas": GoldTable(("city", "year"), condiciones_criticas),
     "analisis_comparativo": GoldTable(
-        ("year", "month"), analisis_comparativo, lambda daily: _comparison(coarsen(daily, MONTH))
+        ("year", "month"), analisis_comparativo, lambda daily: _comparison(days_to_months(daily))
     ),
     "ranking_dias": GoldTable(("city", "year"), ranking_dias, _ranking),
 }
@@ -203,7 +216,7 @@ def write_gold(silver: DataFrame, root: str, names: Iterable[str] = tuple(GOLD_T
     Three passes over Silver for five tables: hours, labels, and one day rollup that is kept in the
     cluster (one row per site and day) while the tables that derive from it are written.
     """
-    daily = day_rollup(silver).persist()
+    daily = by_day(silver).persist()
     try:
         frames = gold_frames(silver, daily)
         return {

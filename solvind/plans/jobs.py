@@ -1,4 +1,4 @@
-"""Jobs a scheduler submits: `spark-submit -m`-style entry points are in `solvind/__main__.py`."""
+"""Jobs a scheduler submits (`python -m solvind <job>`, see `solvind/__main__.py`)."""
 
 from __future__ import annotations
 
@@ -14,30 +14,46 @@ from solvind.operators.append import append_new
 from solvind.operators.dedup import dedup
 from solvind.operators.layout import write_table
 from solvind.operators.normalise import city_from_topic, normalise, union_sources, unwrap_envelope
+from solvind.operators.pruning import value_counts
 from solvind.operators.quality import require_fields, require_rows
+from solvind.operators.retention import cutoff_day, drop_expired
 from solvind.plans.gold import write_gold
+from solvind.plans.refresh import refresh_gold, touched_months, within_months
 from solvind.schemas import ENVELOPE, HISTORY_PARTITIONS, HISTORY_TABLE, LANDING_STREAM, SILVER
 from solvind.sources import message_source, read_json_history, read_landing, read_table
 from solvind.sources.tables import load_or_empty
 from solvind.streaming.ingest import landing_rows, start_ingest
 
-LANDING_FORMATS = ("json", "avro", "stream")
+LANDING_KINDS = ("json", "avro", "stream")
+# Layout of a Silver table that is updated month by month.
+SILVER_BY_MONTH = ("city", "year", "month")
 
 
 def landing_as_history(
-    spark: SparkSession, path: str, kind: str, city: str | None = None, temp_unit: str = "C"
+    spark: SparkSession,
+    path: str,
+    kind: str,
+    city: str | None = None,
+    temp_unit: str = "C",
+    since: dt.date | None = None,
 ) -> DataFrame:
     """Adapter from either landing shape to history columns. `kind`: `json` or `avro` for envelopes,
-    `stream` for the landing table of the message stream."""
-    if kind not in LANDING_FORMATS:
+    `stream` for the landing table of the message stream.
+
+    `since` skips landing data that arrived on earlier days: whole partitions of the stream table, whole
+    files of envelopes. Without it every run reads all retained landing data.
+    """
+    if kind not in LANDING_KINDS:
         raise ValueError(f"unknown landing kind: {kind}")
     if kind == "stream":
         landed = read_landing(spark, path, "parquet", LANDING_STREAM)
+        if since:
+            landed = landed.filter(F.make_date("year", "month", "day") >= F.lit(since))
         rows = normalise(landed, city or city_from_topic(F.col("topic")), temp_unit)
     else:
-        rows = normalise(unwrap_envelope(read_landing(spark, path, kind, ENVELOPE)), city, temp_unit)
-    parts = add_time_parts(rows)
-    return parts.select(*HISTORY_TABLE.fieldNames())
+        options = {"modifiedAfter": f"{since}T00:00:00"} if since else {}
+        rows = normalise(unwrap_envelope(read_landing(spark, path, kind, ENVELOPE, **options)), city, temp_unit)
+    return add_time_parts(rows).select(*HISTORY_TABLE.fieldNames())
 
 
 def consolidate(deliveries: DataFrame, history_path: str) -> dict[str, int]:
@@ -45,12 +61,18 @@ def consolidate(deliveries: DataFrame, history_path: str) -> dict[str, int]:
 
     Returns rows read, unique observations among them, and rows written, all counted by the run itself.
     """
+    history = load_or_empty(deliveries.sparkSession, history_path, deliveries.schema)
     seen = Observation()
     observed = deliveries.observe(seen, F.count(F.lit(1)).alias("read"))
-    counts = append_new(dedup(observed), history_path, partition_by=HISTORY_PARTITIONS)
+    counts = append_new(dedup(observed), history_path, partition_by=HISTORY_PARTITIONS, target=history)
     return {"read": seen.get.get("read", 0), **counts}
 
 
+def _with_layout(silver: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    extra = [name for name in partition_by if name not in silver.columns]
+    return add_time_parts(silver).select(*SILVER.fieldNames(), *extra) if extra else silver
+
+
 def build_silver(
     spark: SparkSession,
     documents: Sequence[tuple[str, str]],
@@ -59,32 +81,62 @@ def build_silver(
     partition_by: Sequence[str] = ("city",),
     temp_unit: str = "C",
     multiline: bool = True,
+    gather: bool = True,
 ) -> dict[str, int]:
-    """History documents, given as (path, city), and the consolidated history -> Silver."""
-    frames = [
-        normalise(read_json_history(spark, path, multiline), city, temp_unit) for path, city in documents
-    ]
+    """History documents, given as (path, city), and the consolidated history -> Silver.
+
+    `gather=False` saves the shuffle of the whole table; use it when a task meets few output folders,
+    as with few sites.
+    """
+    frames = [normalise(read_json_history(spark, path, multiline), city, temp_unit) for path, city in documents]
     if history_path:
         history = load_or_empty(spark, history_path, HISTORY_TABLE)
         frames.append(normalise(history).drop("ingestion_timestamp"))
-    silver = require_fields(union_sources(*frames), SILVER)
-    require_rows(silver, "Silver input")
-    if set(partition_by) - set(silver.columns):
-        silver = add_time_parts(silver).select(*SILVER.fieldNames(), *(set(partition_by) - {"city"}))
-    return write_table(silver, silver_path, partition_by, dynamic=False)
+    silver = require_rows(require_fields(union_sources(*frames), SILVER), "Silver input")
+    return write_table(_with_layout(silver, partition_by), silver_path, partition_by, dynamic=False, gather=gather)
 
 
 def build_gold(spark: SparkSession, silver_path: str, gold_root: str) -> dict[str, int]:
     return write_gold(read_table(spark, silver_path), gold_root)
 
 
+def update_from_landing(
+    spark: SparkSession, deliveries: DataFrame, history_path: str, silver_path: str, gold_root: str
+) -> dict[str, int]:
+    """Landing -> history -> Silver -> Gold for the site-months the deliveries touch.
+
+    Work follows the size of the touched months, not of the lake. Silver is laid out by site and month
+    and holds what history holds.
+    """
+    counts = consolidate(deliveries, history_path)
+    touched = touched_months(deliveries).persist()
+    try:
+        history = load_or_empty(spark, history_path, HISTORY_TABLE)
+        months = value_counts(touched, ["year", "month"])
+        recent = history if months is None else within_months(history, months)
+        silver = _with_layout(normalise(recent).drop("ingestion_timestamp"), SILVER_BY_MONTH)
+        counts["silver"] = write_table(silver, silver_path, SILVER_BY_MONTH)["rows"]
+        refreshed = refresh_gold(read_table(spark, silver_path, silver.schema), gold_root, touched)
+        return {**counts, **refreshed}
+    finally:
+        touched.unpersist()
+
+
 def run_stream(
-    spark: SparkSession, servers: str, topics: str, path: str, checkpoint: str, every: str = "1 minute", **options: str
+    spark: SparkSession,
+    servers: str,
+    topics: str,
+    path: str,
+    checkpoint: str,
+    every: str = "1 minute",
+    retention: str | None = None,
+    **options: str,
 ) -> StreamingQuery:
     """Follow topics into the landing table until stopped."""
     messages = message_source(spark, "kafka", servers=servers, topics=topics, **options)
-    return start_ingest(landing_rows(messages), path, checkpoint, every)
+    return start_ingest(landing_rows(messages), path, checkpoint, every, retention=retention)
 
 
-def default_cutoff(days: int = 30) -> dt.date:
-    return dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=days)
+def expire_landing(spark: SparkSession, table: str, today: dt.date, days: int) -> int:
+    """Drop landing partitions older than `days`; returns how many."""
+    return drop_expired(spark, table, cutoff_day(today, days))

@@ -7,14 +7,20 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from solvind.functions.calendar import add_time_parts
 from solvind.operators.layout import replace_table, write_table
-from solvind.operators.pruning import semi_join, value_counts
-from solvind.plans.gold import GOLD_TABLES, analisis_comparativo, condiciones_criticas, day_rollup
-from solvind.plans.gold import potencial_eolico, potencial_solar, ranking_dias
+from solvind.operators.pruning import BROADCAST_ROWS, any_of, same_keys, semi_join, value_counts
+from solvind.plans.gold import (
+    GOLD_TABLES,
+    analisis_comparativo,
+    condiciones_criticas,
+    potencial_eolico,
+    potencial_solar,
+    ranking_dias,
+)
 from solvind.sources.tables import load_or_empty
 
 
@@ -23,23 +29,38 @@ def touched_months(new_rows: DataFrame) -> DataFrame:
     return add_time_parts(new_rows).select("city", "year", "month").distinct()
 
 
-def _epoch(year: int, month: int) -> int:
-    return int(dt.datetime(year, month, 1, tzinfo=dt.timezone.utc).timestamp())
+def _epoch(month_number: int) -> int:
+    year, month = divmod(month_number, 12)
+    return int(dt.datetime(year, month + 1, 1, tzinfo=dt.timezone.utc).timestamp())
 
 
-def _month_range(year: int, month: int) -> Column:
-    following = (year, month + 1) if month < 12 else (year + 1, 1)
-    return (F.col("dt") >= _epoch(year, month)) & (F.col("dt") < _epoch(*following))
+def _month_runs(months: Sequence[Row]) -> list[tuple[int, int]]:
+    """Consecutive months as (first, one past last) month numbers."""
+    runs: list[tuple[int, int]] = []
+    for number in sorted({row["year"] * 12 + row["month"] - 1 for row in months if row["year"] is not None}):
+        if runs and runs[-1][1] == number:
+            runs[-1] = (runs[-1][0], number + 1)
+        else:
+            runs.append((number, number + 1))
+    return runs
 
 
-def within_months(silver: DataFrame, months: Sequence[tuple[int, int]]) -> DataFrame:
-    """Ranges on `dt` reach the Parquet scan; `year(dt)` comparisons would not. Uses the stored month
-    folders as well when the table has them."""
-    wanted = reduce(or_, (_month_range(year, month) for year, month in months), F.lit(False))
-    if {"year", "month"} <= set(silver.columns):
-        folders = ((F.col("year") == year) & (F.col("month") == month) for year, month in months)
-        wanted = wanted & reduce(or_, folders, F.lit(False))
-    return silver.filter(wanted)
+def within_months(silver: DataFrame, months: Sequence[Row]) -> DataFrame:
+    """Rows of the listed (year, month). Ranges on `dt` reach the Parquet scan; `year(dt)` comparisons would
+    not. The stored month folders are used as well when the table has them."""
+    stamp = F.col("dt")
+    wanted = [(stamp >= _epoch(first)) & (stamp < _epoch(end)) for first, end in _month_runs(months)]
+    if any(row["year"] is None for row in months):
+        wanted.append(stamp.isNull())
+    rows = silver.filter(reduce(or_, wanted, F.lit(False)))
+    return rows.filter(any_of(months, ["year", "month"])) if {"year", "month"} <= set(silver.columns) else rows
+
+
+def whole_years(months: Sequence[Row]) -> list[Row]:
+    """All months of every year that has a listed month."""
+    years = {row["year"] for row in months}
+    spelled = [(year, month) for year in sorted(years - {None}) for month in range(1, 13)]
+    return [Row(year=year, month=month) for year, month in spelled + [(None, None)] * (None in years)]
 
 
 def _ranking_with(fresh: DataFrame, path: str, cities: DataFrame, n_cities: int | None) -> DataFrame:
@@ -47,8 +68,9 @@ def _ranking_with(fresh: DataFrame, path: str, cities: DataFrame, n_cities: int
     day must disappear, which overwriting single partitions would not do; the table has at most twenty
     rows per site, so it is replaced."""
     stored = load_or_empty(fresh.sparkSession, path, fresh.schema)
-    known = cities if n_cities is None else F.broadcast(cities)
-    others = stored.join(known, "city", "left_anti")
+    if n_cities is not None and n_cities <= BROADCAST_ROWS:
+        cities = F.broadcast(cities)
+    others = stored.alias("s").join(cities.alias("c"), same_keys("s", "c", ["city"]), "left_anti")
     return others.unionByName(fresh)
 
 
@@ -57,36 +79,39 @@ def refresh_gold(silver: DataFrame, root: str, touched: DataFrame) -> dict[str,
 
     Hourly and daily tables need the touched site-months, the comparison all sites of a touched month,
     the conditions the touched site-years, and the ranking the whole history of a touched site.
+
+    Each scan is first cut by literal month ranges and, when they are few enough to list, by sites, so
+    that files and row groups are skipped; the semi-join then leaves exactly the touched combinations.
     """
     touched = touched.select("city", "year", "month").distinct().persist()
     try:
         months = value_counts(touched, ["year", "month"])
+        sites = value_counts(touched, ["city"])
         if months is not None and not months:
             return dict.fromkeys(GOLD_TABLES, 0)
         total = None if months is None else sum(row["_rows"] for row in months)
-        listed = None if months is None else sorted({(row["year"], row["month"]) for row in months})
-        years = None if listed is None else [(y, m) for y in sorted({y for y, _ in listed}) for m in range(1, 13)]
+        years = None if months is None else whole_years(months)
 
-        def scan(periods: list[tuple[int, int]] | None, keys: tuple[str, ...]) -> DataFrame:
+        def scan(periods: Sequence[Row] | None, keys: tuple[str, ...]) -> DataFrame:
             rows = silver if periods is None else within_months(silver, periods)
+            if "city" in keys and sites is not None:
+                rows = rows.filter(any_of(sites, ["city"]))
             return semi_join(add_time_parts(rows), touched.select(*keys).distinct(), keys, total)
 
-        site_months = scan(listed, ("city", "year", "month"))
+        site_months = scan(months, ("city", "year", "month"))
         frames = {
             "potencial_solar": potencial_solar(site_months),
             "potencial_eolico": potencial_eolico(site_months),
             "condiciones_criticas": condiciones_criticas(scan(years, ("city", "year"))),
-            "analisis_comparativo": analisis_comparativo(scan(listed, ("year", "month"))),
+            "analisis_comparativo": analisis_comparativo(scan(months, ("year", "month"))),
         }
         written = {
             name: write_table(frame, f"{root}/{name}", GOLD_TABLES[name].partition_by)["rows"]
             for name, frame in frames.items()
         }
-        cities = touched.select("city").distinct()
-        ranking = _ranking_with(ranking_dias(scan(None, ("city",))), f"{root}/ranking_dias", cities, total)
-        written["ranking_dias"] = replace_table(
-            ranking, f"{root}/ranking_dias", GOLD_TABLES["ranking_dias"].partition_by
-        )["rows"]
+        path = f"{root}/ranking_dias"
+        ranking = _ranking_with(ranking_dias(scan(None, ("city",))), path, touched.select("city").distinct(), total)
+        written["ranking_dias"] = replace_table(ranking, path, GOLD_TABLES["ranking_dias"].partition_by)["rows"]
         return written
     finally:
         touched.unpersist()

@@ -21,10 +21,10 @@ def read_json_history(
 
 
 def read_landing(
-    spark: SparkSession, path: str, fmt: str = "json", schema: StructType = ENVELOPE
+    spark: SparkSession, path: str, fmt: str = "json", schema: StructType = ENVELOPE, **options: str
 ) -> DataFrame:
     """Landing files in `json` (lines), `parquet` or `avro` (needs the spark-avro module on the classpath).
 
     No data yet, no folder yet: an empty frame.
     """
-    return load_or_empty(spark, path, schema, fmt)
+    return load_or_empty(spark, path, schema, fmt, **options)

@@ -19,10 +19,12 @@ def read_table(spark: SparkSession, path_or_name: str, schema: StructType | None
     return reader.parquet(path_or_name)
 
 
-def load_or_empty(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
+def load_or_empty(
+    spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", **options: str
+) -> DataFrame:
     """A folder that does not exist yet reads as an empty frame; every other error is raised."""
     try:
-        return spark.read.schema(schema).format(fmt).load(path)
+        return spark.read.schema(schema).format(fmt).options(**options).load(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
