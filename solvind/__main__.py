@@ -45,7 +45,7 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--landing", required=True)
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--every", default="1 minute")
-    stream.add_argument("--retention", help='forget files older than this, such as "30 days"')
+    stream.add_argument("--retention", help='forget files older than this, such as 30d')
     stream.add_argument("--max-offsets", help="messages per micro-batch")
 
     expire = job.add_parser("expire", help="drop old partitions of a landing catalog table")

@@ -50,7 +50,7 @@ def start_ingest(
     retention: str | None = None,
 ) -> StreamingQuery:
     """Append rows to the landing table, exactly once per checkpoint. `every=None` drains what is there
-    and stops. `retention` ("30 days") lets the sink forget files older than that.
+    and stops. `retention` ("30d") lets the sink forget files older than that.
 
     Read the table through Spark so that the sink's commit log decides which files count.
     """
