@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from solvind.functions.rounding import round_half_up
+
 # Fixed values.
 SUNRISE_HOUR = 6
 SUNSET_HOUR = 18
@@ -31,7 +33,7 @@ def clear_sky_uv(uv: Column, clouds: Column) -> Column:
 
 def solar_kwh(uv: Column, clouds: Column, hour: Column) -> Column:
     """Rounded per observation; tables average the rounded values."""
-    return F.round(clear_sky_uv(uv, clouds) * hour_factor(hour), 2)
+    return round_half_up(clear_sky_uv(uv, clouds) * hour_factor(hour))
 
 
 def air_density(pressure: Column, temp: Column) -> Column:
@@ -41,7 +43,7 @@ def air_density(pressure: Column, temp: Column) -> Column:
 
 def wind_power(pressure: Column, temp: Column, speed: Column) -> Column:
     """W/m2, rounded per observation."""
-    return F.round(F.lit(0.5) * air_density(pressure, temp) * speed * speed * speed, 2)
+    return round_half_up(F.lit(0.5) * air_density(pressure, temp) * speed * speed * speed)
 
 
 def wind_index(speed: Column) -> Column:

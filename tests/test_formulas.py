@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from solvind.functions import conditions, energy
 from solvind.functions.calendar import add_ingestion_partitions, add_time_parts, hour_of_day, hour_start
+from solvind.functions.rounding import round_half_up
 from tests.support import epoch, silver_rows, values
 
 
@@ -30,6 +31,19 @@ def test_solar_is_rounded_half_up(spark, uv, clouds, hour, expected):
     assert one(spark, "uv double, clouds int, hour int", [(uv, clouds, hour)], column) == [expected]
 
 
+def test_fast_rounding_equals_round(spark):
+    """Ties, neighbours of ties, negatives, large and special values, and a random spread."""
+    special = [0.0, -0.0, 2.675, 0.125, -0.125, 1.005, -1.005, 0.005, -0.005, 0.0049999999999, 1e-9, 1e11 + 0.005]
+    special += [1e300, -1e300, float("inf"), float("-inf"), float("nan"), None, 123456789.985, 4.35, 8.345, 1e15 + 0.3]
+    special += [math.nextafter(tie, side) for tie in (0.125, 2.675, 0.375) for side in (-math.inf, math.inf)]
+    literal = spark.createDataFrame([(value,) for value in special], "v double")
+    spread = spark.range(200_000).select(((F.rand(3) - 0.5) * F.pow(F.lit(10.0), F.col("id") % 12 - 2)).alias("v"))
+    halves = spark.range(20_000).select(((F.col("id") - 10_000) / 200 + 0.005).alias("v"))
+    for values_ in (literal, spread, halves):
+        differing = values_.filter(~round_half_up(F.col("v")).eqNullSafe(F.round("v", 2)))
+        assert differing.collect() == []
+
+
 def test_air_density_and_wind_power(spark):
     schema, row = "p int, t double, v double", (1013, 15.0, 10.0)
     density = 1013 * 100.0 / (287.05 * (15.0 + 273.15))
