@@ -35,24 +35,19 @@ def not_in_target(
 
 
 def append_new(
-    df: DataFrame,
+    batch: DataFrame,
     path: str,
     keys: Sequence[str] = OBSERVATION_KEY,
     partition_by: Sequence[str] = HISTORY_PARTITIONS,
     target: DataFrame | None = None,
 ) -> dict[str, int]:
-    """Append the rows of `df` (unique per key) that the table at `path` lacks. `target` is that table,
-    if the caller has already opened it.
+    """Append the rows of `batch` that the table at `path` lacks; returns `{"rows": written}`.
 
-    Returns `unique` (rows offered) and `rows` (rows written).
+    The batch is unique per key and read several times: pass a stored table. `target` is the table at
+    `path`, if the caller has already opened it.
     """
     if target is None:
-        target = load_or_empty(df.sparkSession, path, df.schema)
-    batch = df.persist()
-    try:
-        counts = value_counts(batch, partition_by)
-        offered = batch.count() if counts is None else sum(row["_rows"] for row in counts)
-        fresh = not_in_target(batch, target, keys, partition_by, counts)
-        return {"unique": offered, **write_table(fresh, path, partition_by, mode="append")}
-    finally:
-        batch.unpersist()
+        target = load_or_empty(batch.sparkSession, path, batch.schema)
+    counts = value_counts(batch, partition_by)
+    fresh = not_in_target(batch, target, keys, partition_by, counts)
+    return write_table(fresh, path, partition_by, mode="append")

@@ -40,10 +40,18 @@ def write_table(
     return {"rows": seen.get.get("rows", 0)}
 
 
+def stage(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """Store an intermediate result in the shared folder and read it back: (frame, rows).
+
+    Unlike cached blocks, the copy survives lost executors, and each reader loads only the columns it
+    needs. It stays until the owner of the folder expires it.
+    """
+    path = fresh_path(df.sparkSession, label)
+    rows = write_table(df, path)["rows"]
+    return df.sparkSession.read.schema(df.schema).parquet(path), rows
+
+
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> dict[str, int]:
-    """Replace a whole table by rows that may come from that table, by way of a staged copy. For small
-    tables; the staged copy in the shared folder stays until its owner expires it."""
-    spark = df.sparkSession
-    staged = fresh_path(spark, "staged")
-    write_table(df, staged, gather=False)
-    return write_table(spark.read.schema(df.schema).parquet(staged), path, partition_by, dynamic=False)
+    """Replace a whole table by rows that may come from that table, by way of a staged copy. For small tables."""
+    staged, _ = stage(df, "staged")
+    return write_table(staged, path, partition_by, dynamic=False)

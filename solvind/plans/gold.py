@@ -5,10 +5,10 @@ No table is sorted before it is written: a partitioned write does not keep a glo
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from solvind.functions import conditions, energy
@@ -18,6 +18,8 @@ from solvind.operators.ranking import LABELLED_DAYS, day_label, rank_both_ways
 from solvind.plans.rollup import PERIOD, by_day, by_month, days_to_months, mean, period_columns
 
 DAY = ("date", "year", "month", "day")
+DAY_ROLLUP = "rollup_dias"
+ROLLUP_PARTITIONS = ("year", "month")
 
 
 def potencial_solar(silver: DataFrame, tz: str = "UTC") -> DataFrame:
@@ -47,7 +49,7 @@ def potencial_solar(silver: DataFrame, tz: str = "UTC") -> DataFrame:
     )
 
 
-def _wind(daily: DataFrame) -> DataFrame:
+def wind_from_days(daily: DataFrame) -> DataFrame:
     return daily.select(
         *period_columns("year", "month", "day"),
         mean("power").alias("potencial_eolico_promedio_w"),
@@ -62,7 +64,7 @@ def _wind(daily: DataFrame) -> DataFrame:
 def potencial_eolico(silver: DataFrame, tz: str = "UTC") -> DataFrame:
     """Wind power per site and day. The direction is the arithmetic mean the published table has;
     `wind_direction` gives the circular one."""
-    return _wind(by_day(silver, tz))
+    return wind_from_days(by_day(silver, tz))
 
 
 def wind_direction(silver: DataFrame, tz: str = "UTC") -> DataFrame:
@@ -135,6 +137,10 @@ def analisis_comparativo(silver: DataFrame, tz: str = "UTC") -> DataFrame:
     return _comparison(by_month(silver, tz))
 
 
+def comparison_from_days(daily: DataFrame) -> DataFrame:
+    return _comparison(days_to_months(daily))
+
+
 def _scores(daily: DataFrame) -> DataFrame:
     means = daily.select(
         *period_columns(*DAY),
@@ -154,7 +160,7 @@ def daily_scores(silver: DataFrame, tz: str = "UTC") -> DataFrame:
     return _scores(by_day(silver, tz))
 
 
-def _ranking(daily: DataFrame, n: int = LABELLED_DAYS, drop_null_scores: bool = False) -> DataFrame:
+def ranking_from_days(daily: DataFrame, n: int = LABELLED_DAYS, drop_null_scores: bool = False) -> DataFrame:
     scored = _scores(daily)
     if drop_null_scores:
         scored = scored.filter(F.col("score_total").isNotNull())
@@ -181,7 +187,7 @@ def ranking_dias(
     silver: DataFrame, n: int = LABELLED_DAYS, tz: str = "UTC", drop_null_scores: bool = False
 ) -> DataFrame:
     """The n best and n worst days per site. Equal scores rank by date; days without a score are worst."""
-    return _ranking(by_day(silver, tz), n, drop_null_scores)
+    return ranking_from_days(by_day(silver, tz), n, drop_null_scores)
 
 
 @dataclass(frozen=True)
@@ -193,12 +199,12 @@ class GoldTable:
 
 GOLD_TABLES = {
     "potencial_solar": GoldTable(("city", "year", "month"), potencial_solar),
-    "potencial_eolico": GoldTable(("city", "year", "month"), potencial_eolico, _wind),
+    "potencial_eolico": GoldTable(("city", "year", "month"), potencial_eolico, wind_from_days),
     "condiciones_criticas": GoldTable(("city", "year"), condiciones_criticas),
     "analisis_comparativo": GoldTable(
-        ("year", "month"), analisis_comparativo, lambda daily: _comparison(days_to_months(daily))
+        ("year", "month"), analisis_comparativo, comparison_from_days
     ),
-    "ranking_dias": GoldTable(("city", "year"), ranking_dias, _ranking),
+    "ranking_dias": GoldTable(("city", "year"), ranking_dias, ranking_from_days),
 }
 
 
@@ -210,20 +216,26 @@ def gold_frames(silver: DataFrame, daily: DataFrame | None = None) -> dict[str,
     }
 
 
-def write_gold(silver: DataFrame, root: str, names: Iterable[str] = tuple(GOLD_TABLES)) -> dict[str, int]:
-    """Write Gold tables under `root`; returns rows per table.
+def write_day_rollup(silver: DataFrame, root: str, whole: bool = True) -> None:
+    """Store the day rollup of these rows beside the Gold tables; `whole=False` replaces only their months."""
+    period = F.col(PERIOD)
+    daily = by_day(silver).withColumns({"year": F.year(period), "month": F.month(period)})
+    write_table(daily, f"{root}/{DAY_ROLLUP}", ROLLUP_PARTITIONS, dynamic=not whole)
+
+
+def read_day_rollup(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/{DAY_ROLLUP}")
 
-    Three passes over Silver for five tables: hours, labels, and one day rollup that is kept in the
-    cluster (one row per site and day) while the tables that derive from it are written.
+
+def write_gold(silver: DataFrame, root: str) -> dict[str, int]:
+    """Write all Gold tables under `root`; returns rows per table.
+
+    Three passes over Silver for five tables: hours, labels, and one day rollup (a row per site and day)
+    that is stored and feeds the wind, comparison and ranking tables, now and in later refreshes.
     """
-    daily = by_day(silver).persist()
-    try:
-        frames = gold_frames(silver, daily)
-        return {
-            name: write_table(
-                frames[name], f"{root}/{name}", GOLD_TABLES[name].partition_by, dynamic=False
-            )["rows"]
-            for name in names
-        }
-    finally:
-        daily.unpersist()
+    write_day_rollup(silver, root)
+    frames = gold_frames(silver, read_day_rollup(silver.sparkSession, root))
+    return {
+        name: write_table(frame, f"{root}/{name}", GOLD_TABLES[name].partition_by, dynamic=False)["rows"]
+        for name, frame in frames.items()
+    }

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from solvind.functions.calendar import add_time_parts
 from solvind.operators.append import append_new
 from solvind.operators.dedup import dedup
-from solvind.operators.layout import write_table
+from solvind.operators.layout import stage, write_table
 from solvind.operators.normalise import city_from_topic, normalise, union_sources, unwrap_envelope
 from solvind.operators.pruning import value_counts
 from solvind.operators.quality import require_fields, require_rows
@@ -56,16 +56,21 @@ def landing_as_history(
     return add_time_parts(rows).select(*HISTORY_TABLE.fieldNames())
 
 
+def _unique_batch(deliveries: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """Latest delivery per observation, staged, with the counts of rows read and kept."""
+    seen = Observation()
+    observed = deliveries.observe(seen, F.count(F.lit(1)).alias("read"))
+    batch, unique = stage(dedup(observed), "batch")
+    return batch, {"read": seen.get.get("read", 0), "unique": unique}
+
+
 def consolidate(deliveries: DataFrame, history_path: str) -> dict[str, int]:
     """Move landing rows to history: latest delivery per observation, only observations history lacks.
 
     Returns rows read, unique observations among them, and rows written, all counted by the run itself.
     """
-    history = load_or_empty(deliveries.sparkSession, history_path, deliveries.schema)
-    seen = Observation()
-    observed = deliveries.observe(seen, F.count(F.lit(1)).alias("read"))
-    counts = append_new(dedup(observed), history_path, partition_by=HISTORY_PARTITIONS, target=history)
-    return {"read": seen.get.get("read", 0), **counts}
+    batch, counts = _unique_batch(deliveries)
+    return {**counts, **append_new(batch, history_path, partition_by=HISTORY_PARTITIONS)}
 
 
 def _with_layout(silver: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -97,7 +102,7 @@ def build_silver(
 
 
 def build_gold(spark: SparkSession, silver_path: str, gold_root: str) -> dict[str, int]:
-    return write_gold(read_table(spark, silver_path), gold_root)
+    return write_gold(read_table(spark, silver_path, SILVER), gold_root)
 
 
 def update_from_landing(
@@ -108,18 +113,15 @@ def update_from_landing(
     Work follows the size of the touched months, not of the lake. Silver is laid out by site and month
     and holds what history holds.
     """
-    counts = consolidate(deliveries, history_path)
-    touched = touched_months(deliveries).persist()
-    try:
-        history = load_or_empty(spark, history_path, HISTORY_TABLE)
-        months = value_counts(touched, ["year", "month"])
-        recent = history if months is None else within_months(history, months)
-        silver = _with_layout(normalise(recent).drop("ingestion_timestamp"), SILVER_BY_MONTH)
-        counts["silver"] = write_table(silver, silver_path, SILVER_BY_MONTH)["rows"]
-        refreshed = refresh_gold(read_table(spark, silver_path, silver.schema), gold_root, touched)
-        return {**counts, **refreshed}
-    finally:
-        touched.unpersist()
+    batch, counts = _unique_batch(deliveries)
+    counts |= append_new(batch, history_path, partition_by=HISTORY_PARTITIONS)
+    touched = touched_months(batch)
+    months = value_counts(touched, ["year", "month"])
+    history = load_or_empty(spark, history_path, HISTORY_TABLE)
+    recent = history if months is None else within_months(history, months)
+    silver = _with_layout(normalise(recent).drop("ingestion_timestamp"), SILVER_BY_MONTH)
+    counts["silver"] = write_table(silver, silver_path, SILVER_BY_MONTH)["rows"]
+    return {**counts, **refresh_gold(read_table(spark, silver_path, silver.schema), gold_root, touched)}
 
 
 def run_stream(

@@ -11,15 +11,18 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from solvind.functions.calendar import add_time_parts
-from solvind.operators.layout import replace_table, write_table
+from solvind.operators.layout import replace_table, stage, write_table
 from solvind.operators.pruning import BROADCAST_ROWS, any_of, same_keys, semi_join, value_counts
 from solvind.plans.gold import (
+    DAY_ROLLUP,
     GOLD_TABLES,
-    analisis_comparativo,
+    comparison_from_days,
     condiciones_criticas,
-    potencial_eolico,
     potencial_solar,
-    ranking_dias,
+    ranking_from_days,
+    read_day_rollup,
+    wind_from_days,
+    write_day_rollup,
 )
 from solvind.sources.tables import load_or_empty
 
@@ -56,62 +59,68 @@ def within_months(silver: DataFrame, months: Sequence[Row]) -> DataFrame:
     return rows.filter(any_of(months, ["year", "month"])) if {"year", "month"} <= set(silver.columns) else rows
 
 
-def whole_years(months: Sequence[Row]) -> list[Row]:
-    """All months of every year that has a listed month."""
-    years = {row["year"] for row in months}
-    spelled = [(year, month) for year in sorted(years - {None}) for month in range(1, 13)]
-    return [Row(year=year, month=month) for year, month in spelled + [(None, None)] * (None in years)]
-
-
-def _ranking_with(fresh: DataFrame, path: str, cities: DataFrame, n_cities: int | None) -> DataFrame:
-    """Stored ranking of the other sites plus the fresh one. A year in which a site no longer has a listed
-    day must disappear, which overwriting single partitions would not do; the table has at most twenty
-    rows per site, so it is replaced."""
-    stored = load_or_empty(fresh.sparkSession, path, fresh.schema)
-    if n_cities is not None and n_cities <= BROADCAST_ROWS:
-        cities = F.broadcast(cities)
-    others = stored.alias("s").join(cities.alias("c"), same_keys("s", "c", ["city"]), "left_anti")
-    return others.unionByName(fresh)
+def _others(stored: DataFrame, changed: DataFrame, keys: Sequence[str], n_changed: int) -> DataFrame:
+    """Stored rows whose keys are not among the changed ones."""
+    changed = changed.select(*keys).distinct()
+    if n_changed <= BROADCAST_ROWS:
+        changed = F.broadcast(changed)
+    return stored.alias("s").join(changed.alias("c"), same_keys("s", "c", keys), "left_anti")
 
 
 def refresh_gold(silver: DataFrame, root: str, touched: DataFrame) -> dict[str, int]:
     """Update the Gold tables under `root` for the touched (city, year, month); returns rows written.
 
-    Hourly and daily tables need the touched site-months, the comparison all sites of a touched month,
-    the conditions the touched site-years, and the ranking the whole history of a touched site.
-
-    Each scan is first cut by literal month ranges and, when they are few enough to list, by sites, so
-    that files and row groups are skipped; the semi-join then leaves exactly the touched combinations.
+    Silver is read for the touched months only, whatever its age. What reaches further comes from stored
+    tables: the ranking, over all years of a touched site, from the day rollup, and the other months of a
+    touched site-year of conditions from the table itself. Scans are cut by literal month ranges and,
+    when they are few enough to list, by sites, so that files and row groups are skipped; the semi-join
+    then leaves exactly the touched combinations. Silver rows may be added and corrected, not removed.
     """
-    touched = touched.select("city", "year", "month").distinct().persist()
-    try:
-        months = value_counts(touched, ["year", "month"])
-        sites = value_counts(touched, ["city"])
-        if months is not None and not months:
-            return dict.fromkeys(GOLD_TABLES, 0)
-        total = None if months is None else sum(row["_rows"] for row in months)
-        years = None if months is None else whole_years(months)
-
-        def scan(periods: Sequence[Row] | None, keys: tuple[str, ...]) -> DataFrame:
-            rows = silver if periods is None else within_months(silver, periods)
-            if "city" in keys and sites is not None:
-                rows = rows.filter(any_of(sites, ["city"]))
-            return semi_join(add_time_parts(rows), touched.select(*keys).distinct(), keys, total)
-
-        site_months = scan(months, ("city", "year", "month"))
-        frames = {
-            "potencial_solar": potencial_solar(site_months),
-            "potencial_eolico": potencial_eolico(site_months),
-            "condiciones_criticas": condiciones_criticas(scan(years, ("city", "year"))),
-            "analisis_comparativo": analisis_comparativo(scan(months, ("year", "month"))),
-        }
-        written = {
-            name: write_table(frame, f"{root}/{name}", GOLD_TABLES[name].partition_by)["rows"]
-            for name, frame in frames.items()
-        }
-        path = f"{root}/ranking_dias"
-        ranking = _ranking_with(ranking_dias(scan(None, ("city",))), path, touched.select("city").distinct(), total)
-        written["ranking_dias"] = replace_table(ranking, path, GOLD_TABLES["ranking_dias"].partition_by)["rows"]
-        return written
-    finally:
-        touched.unpersist()
+    spark = silver.sparkSession
+    touched, total = stage(touched.select("city", "year", "month").distinct(), "touched")
+    if not total:
+        return dict.fromkeys(GOLD_TABLES, 0)
+    months = value_counts(touched, ["year", "month"])
+    sites = value_counts(touched, ["city"])
+
+    def only(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+        if "city" in keys and sites is not None:
+            rows = rows.filter(any_of(sites, ["city"]))
+        return semi_join(rows, touched.select(*keys).distinct(), keys, total)
+
+    def folder(rows: DataFrame) -> DataFrame:
+        return rows if months is None else rows.filter(any_of(months, ["year", "month"]))
+
+    def store(name: str, rows: DataFrame) -> int:
+        return write_table(rows, f"{root}/{name}", GOLD_TABLES[name].partition_by)["rows"]
+
+    in_months = silver if months is None else within_months(silver, months)
+    started = not load_or_empty(spark, f"{root}/{DAY_ROLLUP}", silver.schema).isEmpty()
+    write_day_rollup(in_months if started else silver, root, whole=not started)
+    days = read_day_rollup(spark, root)
+
+    site_month = ("city", "year", "month")
+    in_site_months = only(add_time_parts(in_months), site_month)
+    written = {
+        "potencial_solar": store("potencial_solar", potencial_solar(in_site_months)),
+        "potencial_eolico": store("potencial_eolico", wind_from_days(only(folder(days), site_month))),
+        "analisis_comparativo": store(
+            "analisis_comparativo", comparison_from_days(only(folder(days), ("year", "month")))
+        ),
+    }
+
+    critical = condiciones_criticas(in_site_months)
+    path = f"{root}/condiciones_criticas"
+    same_years = only(load_or_empty(spark, path, critical.schema), ("city", "year"))
+    merged, _ = stage(_others(same_years, touched, site_month, total).unionByName(critical), "critical")
+    written["condiciones_criticas"] = store("condiciones_criticas", merged)
+
+    # A year in which a site no longer has a listed day must disappear, so the table (at most twenty rows
+    # per site) is replaced as a whole.
+    ranking = ranking_from_days(only(days, ("city",)))
+    path = f"{root}/ranking_dias"
+    kept = _others(load_or_empty(spark, path, ranking.schema), touched, ("city",), total)
+    written["ranking_dias"] = replace_table(
+        kept.unionByName(ranking), path, GOLD_TABLES["ranking_dias"].partition_by
+    )["rows"]
+    return written
