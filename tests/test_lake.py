@@ -1,4 +1,5 @@
 import datetime as dt
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,33 +88,27 @@ def first_year(spark):
     ]
 
 
-@pytest.mark.parametrize("listed", [True, False])
-def test_refresh_equals_full_build(spark, folder, monkeypatch, listed):
-    """The second year pushes every listed day of Patagonia's first year out of both top lists."""
-    if not listed:
-        monkeypatch.setattr(refresh, "value_counts", lambda df, columns: None)
+def test_refresh_equals_full_build(spark, folder, monkeypatch):
+    """The second year pushes every listed day of Patagonia's first year out of both top lists, one row is
+    late and one has no time. With listed months and sites, and with too many to list."""
     old = first_year(spark)
     new = [
         {"city": "Patagonia", "dt": epoch(2025, 6, day), "wind_speed": 30.0 + day if day <= 12 else 0.0}
         for day in range(1, 29)
     ]
-    new += [{"city": "Patagonia", "dt": epoch(2024, 2, 3, 18), "wind_speed": 9.0}]
-    before, after = with_months(silver_rows(spark, *old)), with_months(silver_rows(spark, *old, *new))
-    gold.write_gold(before, folder("gold"))
-    refresh.refresh_gold(after, folder("gold"), refresh.touched_months(with_months(silver_rows(spark, *new))))
+    new += [{"city": "Patagonia", "dt": epoch(2024, 2, 3, 18), "wind_speed": 9.0}, {"dt": None, "temp": -4.0}]
+    before, after = silver_rows(spark, *old), silver_rows(spark, *old, *new)
+    touched = refresh.touched_months(silver_rows(spark, *new))
+    gold.write_gold(before, folder("listed"))
+    shutil.copytree(folder("listed"), folder("unlisted"))
     gold.write_gold(after, folder("full"))
-    assert_same_gold(spark, folder("gold"), folder("full"))
-    ranked_years = values(read_table(spark, folder("gold") + "/ranking_dias").filter("city = 'Patagonia'"), "year")
+    refresh.refresh_gold(after, folder("listed"), touched)
+    assert_same_gold(spark, folder("listed"), folder("full"))
+    ranked_years = values(read_table(spark, folder("listed") + "/ranking_dias").filter("city = 'Patagonia'"), "year")
     assert set(ranked_years) == {(2025,)}
-
-
-def test_refresh_of_rows_without_time(spark, folder):
-    old, new = first_year(spark), [{"dt": None, "temp": -4.0}]
-    after = silver_rows(spark, *old, *new)
-    gold.write_gold(silver_rows(spark, *old), folder("gold"))
-    refresh.refresh_gold(after, folder("gold"), refresh.touched_months(silver_rows(spark, *new)))
-    gold.write_gold(after, folder("full"))
-    assert_same_gold(spark, folder("gold"), folder("full"))
+    monkeypatch.setattr(refresh, "value_counts", lambda df, columns: None)
+    refresh.refresh_gold(after, folder("unlisted"), touched)
+    assert_same_gold(spark, folder("unlisted"), folder("full"))
 
 
 def test_refresh_without_touched_rows_writes_nothing(spark, folder):
