@@ -12,7 +12,8 @@ SESSION_SETTINGS = {
     # REBALANCE before a partitioned write: AQE splits the hot city and merges the small ones.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    # The finer Gold folders hold few bytes each: one task per core writes them, not one task per 256 MB.
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.sql.parquet.filterPushdown": "true",
     # Stream dedup keeps one key per observation: state on disk, not on the heap.
