@@ -7,9 +7,10 @@ from functools import wraps
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from solvind.llm import fingerprints, mixing, packing, sharding
-from solvind.llm.common import table
+from solvind.llm import fingerprints, minhash, mixing, packing, quality, sharding, toxicity
+from solvind.llm.common import id_remainder, table
 
 PACKING_TOKENIZER = "word_bpe_49k.json"
 
@@ -25,6 +26,30 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 40)
 
 
+def _fold(spark: SparkSession, sf_dir: str, modulus: int, held_out: int) -> DataFrame:
+    """Labels that may be learned from."""
+    return table(spark, sf_dir, "labels").where(id_remainder("doc_id", modulus) != held_out)
+
+
+def _judged(scores: DataFrame, modulus: int, held_out: int, threshold: float) -> DataFrame:
+    return scores.select(
+        "doc_id", (id_remainder("doc_id", modulus) == held_out).alias("held_out"), "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"), *[c for c in scores.columns if c not in ("doc_id", "score")],
+    )
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    index = toxicity.train(docs, _fold(spark, sf_dir, 3, 1))
+    return _judged(toxicity.score(docs, index), 3, 1, toxicity.THRESHOLD)
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, _fold(spark, sf_dir, 4, 2))
+    return _judged(quality.score(docs, model), 4, 2, quality.THRESHOLD)
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(PACKING_TOKENIZER))
 
@@ -33,6 +58,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
 
@@ -50,7 +79,7 @@ def _with_path(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 QUERIES = {
     run.__name__: _with_path(run)
-    for run in (op1_sharding, op5_best_fit_packing, op8_mixing, op10_fingerprints)
+    for run in (op1_sharding, op2_toxicity, op5_best_fit_packing, op7_quality, op8_mixing, op9_minhash_dedup, op10_fingerprints)
 }
 
 SQL: dict[str, str] = {}

@@ -59,20 +59,28 @@ def hash_runs(data: np.ndarray, starts: np.ndarray, counted: np.ndarray) -> np.n
     return mix(np.add.reduceat(values, starts - starts[0]))
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every word, words before each text): words are runs of non-space bytes, A-Z counting as a-z.
-
-    `offsets` are the texts' places in `data`; the second array has one entry more than there are texts.
-    """
-    data = _LOWER[data]
+def word_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(where each word starts, its bytes): words are runs of non-space bytes within a text."""
     inside = ~_SPACE[data]
-    first = inside.copy()
+    first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
     edges = offsets[1:-1]
-    edges = edges[edges < len(data)]
+    edges = edges[(edges < len(data)) & (edges > 0)]
     first[edges] = inside[edges]
+    last[edges - 1] = inside[edges - 1]
     starts = np.flatnonzero(first)
-    return hash_runs(data, starts, inside), np.searchsorted(starts, offsets)
+    return starts, np.flatnonzero(last) + 1 - starts
+
+
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word, words before each text), A-Z counting as a-z.
+
+    `offsets` are the texts' places in `data`; the second array has one entry more than there are texts.
+    """
+    data = _LOWER[data]
+    starts, _ = word_starts(data, offsets)
+    return hash_runs(data, starts, ~_SPACE[data]), np.searchsorted(starts, offsets)
 
 
 def shingles(hashes: np.ndarray, before: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
