@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -314,10 +314,7 @@ def near_vectors(
 def _attached(vectors: DataFrame, found: DataFrame, id_column: str, vector_column: str, label_column: str) -> DataFrame:
     """The classes' results for every row: a row's class is that of the smallest id with its label and vector."""
     rows = vectors.select(F.col(id_column).cast("long").alias("vec_id"), F.col(label_column).alias("l"), F.col(vector_column).alias("e"))
-    rep: Column = F.min("vec_id").over(W.partitionBy("l", "e"))
-    found = stored(found, "found")
-    keyed = rows.select("vec_id", "l", F.when(F.col("l").isNotNull() & F.col("e").isNotNull(), F.sha2(F.to_json(F.struct("e")), 256)).alias("e"))
-    same = keyed.groupBy("l", "e").agg(F.min("vec_id").alias("rep")).where("l is not null and e is not null")
-    joined = keyed.join(same, ["l", "e"], "left").join(found, "rep", "left")
+    same = rows.where("l is not null and e is not null").groupBy("l", "e").agg(F.min("vec_id").alias("rep"))
+    joined = rows.join(same, ["l", "e"], "left").join(stored(found, "found"), "rep", "left")
     component = F.coalesce("c", "vec_id")
     return joined.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))

@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from solvind.llm import extraction, fingerprints, minhash, mixing, packing, quality, sharding, toxicity
+from solvind.llm import extraction, fingerprints, minhash, mixing, neighbours, packing, quality, sharding, toxicity
 from solvind.llm.common import id_remainder, table
 
 PACKING_TOKENIZER = "word_bpe_49k.json"
@@ -54,6 +54,10 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(PACKING_TOKENIZER))
 
@@ -83,7 +87,7 @@ def _with_path(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 QUERIES = {
     run.__name__: _with_path(run)
-    for run in (op1_sharding, op2_toxicity, op3_html_extraction, op5_best_fit_packing, op7_quality, op8_mixing, op9_minhash_dedup, op10_fingerprints)
+    for run in (op1_sharding, op2_toxicity, op3_html_extraction, op4_embedding_dedup, op5_best_fit_packing, op7_quality, op8_mixing, op9_minhash_dedup, op10_fingerprints)
 }
 
 SQL: dict[str, str] = {}
