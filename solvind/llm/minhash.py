@@ -208,6 +208,13 @@ def near_duplicates(
     return ids.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
 
 
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns, without those that are linked, directly or not, to a document of smaller id."""
+    found = near_duplicates(docs, id_column=id_column, text_column=text_column)
+    gone = stored(found.where(~F.col("kept")).select(F.col("doc_id").alias(id_column)).distinct(), "gone")
+    return docs.join(gone, id_column, "left_anti")
+
+
 def _apart(heavy: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of long lists that are in another component than the list's leader."""
     of_leader = labels.select(F.col("rep").alias("leader"), F.col("c").alias("leads"))

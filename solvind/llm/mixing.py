@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -77,62 +77,86 @@ def balanced_rates(sizes: DataFrame, targets: DataFrame, most: float = MOST) ->
     return state.select("source", "scale", "tilt")
 
 
-def mixed_copies(
-    docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, budget: float = BUDGET, most: float = MOST,
-    id_column: str = "doc_id", text_column: str = "text", source_column: str = "source",
-) -> DataFrame:
-    """(doc_id, size, source, source_size, target, rate, copies) of every document.
+class Mix:
+    """What the mix takes of each source: tilt, target and the last moves, one row per source, and how to apply them."""
+
+    def __init__(self, measured: DataFrame, weights: tuple[float, ...] = WEIGHTS, budget: float = BUDGET, most: float = MOST):
+        """`measured` (doc_id, size, source) is read several times and should be a stored table."""
+        self.most = most
+        sizes = stored(measured.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "sizes")
+        sums = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
+        targets = stored(mixture_targets(sums, weights, budget, most), "targets")
+        tilts = balanced_rates(sizes, targets, most).withColumnRenamed("source", "s")
+        plan = targets.join(tilts, F.col("source").eqNullSafe(F.col("s")), "left").drop("s").withColumnRenamed("source", "s")
+        self.plan = stored(plan, "plan")
+        self.moves = self._closed_in(stored(self._rounded(measured), "copies"))
+
+    def _rounded(self, frame: DataFrame) -> DataFrame:
+        """`frame` with rate, draw and copies; doc_id, size and source are read."""
+        tilted = F.lit(self.most) / (F.exp(-F.col("tilt") * F.col("size") / F.col("scale")) + 1)
+        edge = F.when(F.col("target") >= self.most * F.col("source_size"), F.lit(self.most)).otherwise(F.lit(0.0))
+        rate = F.when(F.col("size") == 0, F.lit(1.0)).otherwise(F.coalesce(tilted, edge))
+        # 0 to 1, the same in every run: no rand().
+        draw = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("copies")), 11) / F.lit(float(1 << 53))
+        rated = frame.join(self.plan, F.col("source").eqNullSafe(F.col("s"))).withColumn("rate", rate).drop("s", "scale", "tilt")
+        return rated.withColumn("draw", draw).withColumn("copies", F.floor(F.col("rate") + F.col("draw")).cast("long"))
+
+    def _closed_in(self, copies: DataFrame) -> DataFrame:
+        """(s, gap, moves): of all documents that could take one copy more or less, the one that leaves the smallest gap, a few times."""
+        kind = dict(copies.dtypes)["doc_id"]
+        none = F.lit(None).cast(f"array<struct<doc_id:{kind},change:int>>")
+        gaps = copies.groupBy("source", "target").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"))
+        gaps = stored(gaps.select(F.col("source").alias("s"), (F.col("target") - F.col("taken")).alias("gap"), F.coalesce(none, F.array()).alias("moves")), "gaps")
+        for _ in range(CLOSING_STEPS):
+            up = (F.col("gap") > 0) & (F.col("copies") < F.floor(F.lit(self.most)))
+            change = F.when(up, 1).when((F.col("gap") < 0) & (F.col("copies") > 0), -1)
+            near = copies.where("size > 0").join(gaps, F.col("source").eqNullSafe(F.col("s"))).withColumn("change", change)
+            left = F.abs(F.col("gap") - F.col("change") * F.col("size"))
+            better = near.where((left < F.abs("gap")) & ~F.array_contains(_moved(), F.col("doc_id")))
+            best = better.groupBy("source").agg(F.min(F.struct(left.alias("left"), "draw", "doc_id", "size", "change")).alias("b"))
+            joined = gaps.join(best, F.col("s").eqNullSafe(F.col("source")), "left")
+            gap = F.col("gap") - F.coalesce(F.col("b.change") * F.col("b.size"), F.lit(0))
+            more = F.when(F.col("b").isNull(), F.col("moves")).otherwise(F.array_append("moves", F.struct("b.doc_id", "b.change")))
+            gaps = stored(joined.select("s", gap.alias("gap"), more.alias("moves")), "gaps")
+        return gaps
+
+    def copies(self, frame: DataFrame) -> DataFrame:
+        """`frame`, which has doc_id, size and source, with source_size, target, rate and copies."""
+        change = F.element_at(F.filter("moves", lambda move: move["doc_id"] == F.col("doc_id")), 1)["change"]
+        moved = self._rounded(frame).join(self.moves, F.col("source").eqNullSafe(F.col("s")))
+        changed = F.col("copies") + F.when(F.array_contains(_moved(), F.col("doc_id")), change).otherwise(0)
+        return moved.withColumn("copies", changed).drop("s", "gap", "moves", "draw")
+
+
+def _moved() -> Column:
+    return F.transform("moves", lambda move: move["doc_id"])
+
+
+def words_in(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def measured_documents(docs: DataFrame, id_column: str, text_column: str, source_column: str) -> DataFrame:
+    kept = docs.select(F.col(id_column).alias("doc_id"), words_in(F.col(text_column)).alias("size"), F.col(source_column).alias("source"))
+    return stored(kept, "measured")
+
+
+def mix_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", **options) -> DataFrame:
+    """(doc_id, size, source_size, target, taken, rate, copies): words that the mix takes of every document.
 
     Size: words of the text, none for null. Copies are the rate rounded up or down by a hash of the id, so reruns
     agree; then, a few times, the document that brings its source's sum nearest its target takes one copy more or
-    less. Repeated rows are documents of their own and are rounded alike, also in that last step. Null sources are one source. A source of
-    no words has target 0; its documents are taken once. Rows without words have no say in the sums.
+    less. Repeated rows are documents of their own and are rounded alike, also in that last step. Null sources are
+    one source. A source without words has target 0; documents without words are taken once and count for nothing.
     """
-    measured = stored(
-        docs.select(
-            F.col(id_column).alias("doc_id"),
-            F.coalesce(F.regexp_count(F.col(text_column), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            F.col(source_column).alias("source"),
-        ),
-        "measured",
-    )
-    sizes = stored(measured.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "sizes")
-    sums = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
-    targets = stored(mixture_targets(sums, weights, budget, most), "targets")
-    tilts = balanced_rates(sizes, targets, most)
-
-    plan = targets.join(tilts.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-    plan = stored(plan.withColumnRenamed("source", "s"), "plan")
-    tilted = F.lit(most) / (F.exp(-F.col("tilt") * F.col("size") / F.col("scale")) + 1)
-    edge = F.when(F.col("target") >= most * F.col("source_size"), F.lit(most)).otherwise(F.lit(0.0))
-    rate = F.when(F.col("size") == 0, F.lit(1.0)).otherwise(F.coalesce(tilted, edge))
-    # 0 to 1, the same in every run: no rand().
-    draw = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("copies")), 11) / F.lit(float(1 << 53))
-    rated = measured.join(plan, F.col("source").eqNullSafe(F.col("s"))).drop("s").withColumn("rate", rate)
-    copies = stored(rated.withColumn("draw", draw).withColumn("copies", F.floor(F.col("rate") + F.col("draw")).cast("long")), "copies")
-
-    # Closing in: of all documents that could take one copy more or less, the one that leaves its source the smallest gap.
-    gaps = copies.groupBy("source", "target").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"))
-    none = F.lit(None).cast(f"array<struct<doc_id:{dict(copies.dtypes)['doc_id']},change:int>>")
-    gaps = stored(gaps.select(F.col("source").alias("s"), (F.col("target") - F.col("taken")).alias("gap"), F.coalesce(none, F.array()).alias("moves")), "gaps")
-    moved = F.transform("moves", lambda move: move["doc_id"])
-    for _ in range(CLOSING_STEPS):
-        change = F.when((F.col("gap") > 0) & (F.col("copies") < F.floor(F.lit(most))), 1).when((F.col("gap") < 0) & (F.col("copies") > 0), -1)
-        near = copies.where("size > 0").join(gaps, F.col("source").eqNullSafe(F.col("s"))).withColumn("change", change)
-        left = F.abs(F.col("gap") - F.col("change") * F.col("size"))
-        better = near.where((left < F.abs("gap")) & ~F.array_contains(moved, F.col("doc_id")))
-        best = better.groupBy("source").agg(F.min(F.struct(left.alias("left"), "draw", "doc_id", "size", "change")).alias("b"))
-        joined = gaps.join(best, F.col("s").eqNullSafe(F.col("source")), "left")
-        gap = F.col("gap") - F.coalesce(F.col("b.change") * F.col("b.size"), F.lit(0))
-        more = F.when(F.col("b").isNull(), F.col("moves")).otherwise(F.array_append("moves", F.struct("b.doc_id", "b.change")))
-        gaps = stored(joined.select("s", gap.alias("gap"), more.alias("moves")), "gaps")
-    change = F.element_at(F.filter("moves", lambda move: move["doc_id"] == F.col("doc_id")), 1)["change"]
-    copies = copies.join(gaps, F.col("source").eqNullSafe(F.col("s"))).withColumn("change", F.when(F.array_contains(moved, F.col("doc_id")), change).otherwise(0))
-    copies = copies.withColumn("copies", F.col("copies") + F.col("change"))
-    return copies.select("doc_id", "size", "source", "source_size", "target", "rate", "copies")
-
-
-def mix_documents(docs: DataFrame, **options) -> DataFrame:
-    """Words that the mix takes of every document: whole copies, at most twice its size."""
+    measured = measured_documents(docs, id_column, text_column, source_column)
     taken = (F.col("copies") * F.col("size")).alias("taken")
-    return mixed_copies(docs, **options).select("doc_id", "size", "source_size", "target", taken, "rate", "copies")
+    return Mix(measured, **options).copies(measured).select("doc_id", "size", "source_size", "target", taken, "rate", "copies")
+
+
+def mixed_rows(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", **options) -> DataFrame:
+    """The rows of `docs`, all columns, each as often as the mix takes it. The texts are not shuffled."""
+    mix = Mix(measured_documents(docs, id_column, text_column, source_column), **options)
+    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_column).alias("doc_id"), words_in(F.col(text_column)).alias("size"), F.col(source_column).alias("source"))
+    repeated = mix.copies(whole).where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return repeated.select(*[F.col("row").getField(name).alias(name) for name in docs.columns])

@@ -17,6 +17,7 @@ DICTIONARY_BYTES = 131_072
 TAUGHT_CHARS = 8_000  # of a sampled text that the dictionaries are made of
 LEVEL = 3
 THRESHOLD = 0.7
+REJECTED_BELOW = 0.5  # a filter drops what is likelier bad than good
 
 
 class CompressionClassifier:
@@ -103,3 +104,16 @@ def score(docs: DataFrame, model: CompressionClassifier, id_column: str = "doc_i
 
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     return texts.mapInArrow(scored, "doc_id long, score double")
+
+
+def without_bad(docs: DataFrame, model: CompressionClassifier, threshold: float = REJECTED_BELOW, text_column: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns, whose score is at least `threshold`."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                some = batch.slice(at, 1000)
+                sizes = model.sizes([(text or "").encode() for text in some.column(text_column).to_pylist()])
+                yield some.filter(pa.array(model.scores(sizes) >= threshold))
+
+    return docs.mapInArrow(keep, docs.schema)

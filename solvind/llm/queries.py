@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from solvind.llm import extraction, fingerprints, minhash, mixing, neighbours, packing, quality, sharding, toxicity
+from solvind.llm import extraction, fingerprints, minhash, mixing, neighbours, packing, quality, scoring, sharding, toxicity
 from solvind.llm.common import id_remainder, table
 
 PACKING_TOKENIZER = "word_bpe_49k.json"
@@ -44,6 +44,13 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(toxicity.score(docs, index), 3, 1, toxicity.THRESHOLD)
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_remainder("doc_id", 5) == 1
+    scores = scoring.score(docs, scoring.train(docs.where(~held_out)))
+    return scores.select("doc_id", held_out.alias("held_out"), *scores.columns[1:])
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, _fold(spark, sf_dir, 4, 2))
@@ -74,12 +81,15 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
-def _with_path(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    """Workers started elsewhere than in the repository's folder find the package too."""
+def on_workers(spark: SparkSession) -> None:
+    """Python workers that were started elsewhere than in the repository's folder find the package too."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+
 
+def _with_path(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(run)
     def started(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+        on_workers(spark)
         return run(spark, sf_dir)
 
     return started
@@ -87,7 +97,7 @@ def _with_path(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 QUERIES = {
     run.__name__: _with_path(run)
-    for run in (op1_sharding, op2_toxicity, op3_html_extraction, op4_embedding_dedup, op5_best_fit_packing, op7_quality, op8_mixing, op9_minhash_dedup, op10_fingerprints)
+    for run in (op1_sharding, op2_toxicity, op3_html_extraction, op4_embedding_dedup, op5_best_fit_packing, op6_lm_scoring, op7_quality, op8_mixing, op9_minhash_dedup, op10_fingerprints)
 }
 
 SQL: dict[str, str] = {}

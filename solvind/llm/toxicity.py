@@ -184,18 +184,31 @@ def score(docs: DataFrame, index: Examples, id_column: str = "doc_id", text_colu
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores, near = [], []
-            seen: dict[bytes, tuple[float, list[dict]]] = {}
-            for _, _, data, offsets in chunks(batch.column("text")):
-                for places, counts in _counted(index.terms, data, offsets):
-                    key = places.tobytes() + counts.tobytes()
-                    if key not in seen:
-                        value, best, cosine = index.score(places, counts)
-                        seen[key] = value, [{"doc_id": int(index.ids[b]), "cosine": float(c)} for b, c in zip(best, cosine)]
-                    scores.append(seen[key][0])
-                    near.append(seen[key][1])
+            found = list(_scores(index, batch.column("text")))
             kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())]))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array(near, kind)], ["doc_id", "score", "evidence"])
+            columns = [batch.column("doc_id"), pa.array([value for value, _ in found], pa.float64()), pa.array([near for _, near in found], kind)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "score", "evidence"])
 
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     return texts.mapInArrow(scored, "doc_id long, score double, evidence array<struct<doc_id: long, cosine: double>>")
+
+
+def without_toxic(docs: DataFrame, index: Examples, threshold: float = THRESHOLD, text_column: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns, whose score is below `threshold`."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([value < threshold for value, _ in _scores(index, batch.column(text_column))], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
+def _scores(index: Examples, texts: pa.Array) -> Iterator[tuple[float, list[dict]]]:
+    seen: dict[bytes, tuple[float, list[dict]]] = {}
+    for _, _, data, offsets in chunks(texts):
+        for places, counts in _counted(index.terms, data, offsets):
+            key = places.tobytes() + counts.tobytes()
+            if key not in seen:
+                value, best, cosine = index.score(places, counts)
+                seen[key] = value, [{"doc_id": int(index.ids[b]), "cosine": float(c)} for b, c in zip(best, cosine)]
+            yield seen[key]
