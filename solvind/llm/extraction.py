@@ -24,7 +24,8 @@ BLOCKS = frozenset(
     "address article aside blockquote body br center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4"
     " h5 h6 head header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-CONTAINERS = frozenset("html body main article section div td center".split())
+ROOT = "#"  # the page as a whole
+CONTAINERS = frozenset(f"{ROOT} html body main article section div td center".split())
 NAMED = re.compile(
     r"(?:^|[-_\s])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner\w*|cookie\w*|consent|gdpr|notices?|alerts?|menu\w*|nav|navbar|navigation"
     r"|breadcrumbs?|side|sidebar\w*|widgets?|related|recommend\w*|share|sharing|social|comments?|commentlist|disqus|repl(?:y|ies)|respond"
@@ -72,7 +73,7 @@ def _attributes(text: str) -> dict[str, str]:
 
 def parse(source: str) -> Page:
     """Blocks of text with the containers around them. Tags may be unclosed or misplaced; scripts and comments go."""
-    page = Page([Node("#", "", True, 0, 0)])
+    page = Page([Node(ROOT, "", True, 0, 0)])
     stack = [0]
     text: list[str] = []
     own = linked = 0
@@ -135,7 +136,8 @@ def parse(source: str) -> Page:
         keep = above.keep and not (name in DROPPED or plain or hidden or attributes.get("role", "").lower() in ROLES)
         number = len(page.nodes)
         if name in CONTAINERS:
-            step = name + "".join("." + word for word in sorted(re.sub(r"\d+", "#", title).split()))
+            words = () if name in ("html", "body") else sorted(re.sub(r"\d+", "#", title).split())  # pages differ in the body's classes
+            step = name + "".join("." + word for word in words)
             node = Node(name, f"{above.path}/{step}", keep, number, above.holder)
         else:
             node = Node(name, above.path, keep, above.holder, above.parent, above.linked or name == "a")
