@@ -17,7 +17,7 @@ PERCENT = 75  # linked from this Jaccard similarity on
 KEPT = 48  # values of a sketch
 LONG_LIST = 64  # members from which on a list is compared through leaders
 PLAIN_VALUES = 24  # a sketch with fewer values in short lists also needs the long ones
-LEADER_ROUNDS = 2
+LEADER_ROUNDS = 3
 BLOCK = 1_000
 BITMAP_BITS = 1 << 23
 _SIGN = np.uint64(1 << 63)
@@ -74,11 +74,12 @@ def likely(a: list, b: list, n_a: np.ndarray, n_b: np.ndarray, kept: int, percen
 
 
 class _Finder:
-    """The state of one search: representatives with their sketches, the texts, and the links confirmed so far."""
+    """The state of one search: representatives with their sketches, the texts, and the components so far."""
 
     def __init__(self, texts: DataFrame, reps: DataFrame, width: int, percent: int, kept: int):
         self.texts, self.reps, self.width, self.percent, self.kept = texts, reps, width, percent, kept
-        self.links: DataFrame | None = None
+        #: (rep, c): the component of every representative by the links so far
+        self.labels = reps.select("rep", F.col("rep").alias("c"))
 
     def estimated(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that their union sketches let through."""
@@ -135,21 +136,27 @@ class _Finder:
         return marked.mapInArrow(keep, "doc_id long, text string").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
 
     def add(self, pairs: DataFrame, label: str) -> bool:
-        """Check pairs and keep the links found. False if there was nothing to check."""
+        """Check pairs and join the components of those that link. False if there was nothing to check."""
         candidates = stored(self.estimated(pairs), label)
         if candidates.isEmpty():
             return False
-        found = stored(self.verified(candidates), "links")
-        self.links = found if self.links is None else self.links.unionByName(found)
+        links = stored(self.verified(candidates), "links")
+        ends = [self.labels.select(F.col("rep").alias(s), F.col("c").alias(f"c_{s}")) for s in "ab"]
+        between = links.join(ends[0], "a").join(ends[1], "b").select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))
+        parts = stored(components(between), "components")
+        moved = self.labels.join(parts, F.col("c") == F.col("node"), "left")
+        self.labels = stored(moved.select("rep", F.coalesce("component", "c").alias("c")), "labels")
         return True
 
-    def labels(self) -> DataFrame:
-        """(rep, c) of every representative: c is its component by the links so far."""
-        if self.links is None:
-            return self.reps.select("rep", F.col("rep").alias("c"))
-        parts = stored(components(self.links), "components")
-        joined = self.reps.select("rep").join(parts, F.col("rep") == F.col("node"), "left")
-        return stored(joined.select("rep", F.coalesce("component", "rep").alias("c")), "labels")
+
+def best_leaders(members: DataFrame) -> DataFrame:
+    """(a, b): of the leaders that a representative meets in its lists (rep, leader) the one it meets most often, then the smallest.
+
+    One pair for each representative; what this leaves unconnected is asked for again afterwards.
+    """
+    met = members.where("rep <> leader").groupBy("rep", "leader").agg(F.count(F.lit(1)).alias("times"))
+    best = met.groupBy("rep").agg(F.max(F.struct("times", (-F.col("leader")).alias("less"))).alias("best"))
+    return best.select(F.col("rep").alias("a"), (-F.col("best.less")).alias("b"))
 
 
 def near_duplicates(
@@ -157,11 +164,11 @@ def near_duplicates(
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document; component_id is the smallest id reachable by links.
 
-    Equal sets are one class. Of each class the `kept` smallest shingle hashes are indexed. All members of a list are
-    compared with its smallest member; lists up to `LONG_LIST` members also in pairs that are not connected yet.
-    For longer lists this would be quadratic: only sketches that have too few values in short lists to be found there
-    need them. Their members that did not join the leader's component get further leaders, and what then is left is
-    compared in blocks of similar set size. Every candidate passes the union-sketch estimate and is confirmed on its
+    Equal sets are one class. Of each class the `kept` smallest shingle hashes are indexed. Lists of up to `LONG_LIST`
+    members: each class is compared with the leader, a list's smallest member, that it meets most often, and then
+    members that are not connected yet with each other. For longer lists that would be quadratic: only sketches with
+    too few values in short lists to be found there need them. They too are compared with leaders, those that did not
+    join the leader's component with further ones, and what is then left in blocks of similar set size. Every candidate passes the union-sketch estimate and is confirmed on its
     whole sets. Whether to go on is asked of the data; no list is cut.
 
     Null and empty texts have an empty set and no links. Rows that repeat an id are taken to repeat its text.
@@ -176,32 +183,28 @@ def near_duplicates(
     lists = stored(postings.groupBy("value").agg(F.count(F.lit(1)).alias("df"), F.min("rep").alias("leader")).where("df > 1"), "lists")
     shared = stored(postings.join(lists, "value"), "shared")
     finder = _Finder(texts, reps, width, percent, kept)
-    finder.add(shared.where("rep <> leader").select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct(), "star")
-    labels = finder.labels()
 
-    members = shared.where(F.col("df") <= LONG_LIST).select("value", "rep", "n").join(labels, "rep")
+    short = shared.where(F.col("df") <= LONG_LIST)
+    finder.add(best_leaders(short), "star")
+    members = short.select("value", "rep", "n").join(finder.labels, "rep")
     sides = [members.select("value", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "c")]) for s in "ab"]
     close = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
     pairs = sides[0].join(sides[1], "value").where((F.col("rep_a") < F.col("rep_b")) & (F.col("c_a") != F.col("c_b")) & close)
-    if finder.add(pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct(), "short"):
-        labels = finder.labels()
+    finder.add(pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct(), "short")
 
     long = shared.where(F.col("df") > LONG_LIST)
     few = long.groupBy("rep").agg(F.count(F.lit(1)).alias("long"))
     few = few.join(reps.select("rep", F.size("sketch").alias("size")), "rep").where(F.col("size") - F.col("long") < PLAIN_VALUES)
-    heavy = stored(long.join(few.select("rep"), "rep", "left_semi").select("value", "rep", "leader"), "heavy")
-    if not heavy.isEmpty():
-        rest = stored(_apart(heavy, labels), "apart")
-        for _ in range(LEADER_ROUNDS):
-            if rest.isEmpty():
-                break
-            leaders = rest.groupBy("value").agg(F.min("rep").alias("b"))
-            finder.add(rest.join(leaders, "value").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct(), "leaders")
-            labels = finder.labels()
-            rest = stored(_apart(heavy, labels), "apart")
-        if not rest.isEmpty():
-            finder.add(_blocked(rest.select("rep").distinct(), heavy.select("rep").distinct(), labels, finder), "blocks")
-            labels = finder.labels()
+    heavy = stored(long.join(few.select("rep"), "rep", "left_semi").select("value", "rep"), "heavy")
+    rest = heavy
+    for _ in range(LEADER_ROUNDS):
+        if rest.isEmpty():
+            break
+        finder.add(best_leaders(_led(rest)), "leaders")
+        rest = stored(_apart(_led(heavy), finder.labels), "apart")
+    if not rest.isEmpty():
+        finder.add(_blocked(rest.select("rep").distinct(), heavy.select("rep").distinct(), finder), "blocks")
+    labels = finder.labels
 
     ids = made.select("doc_id", "n", "sum", "mark").join(classes, ["n", "sum", "mark"], "left").join(labels, "rep", "left")
     component = F.coalesce("c", "doc_id")
@@ -215,13 +218,18 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     return docs.join(gone, id_column, "left_anti")
 
 
+def _led(members: DataFrame) -> DataFrame:
+    """Members of lists (value, rep) with the smallest member of their list."""
+    return members.join(members.groupBy("value").agg(F.min("rep").alias("leader")), "value")
+
+
 def _apart(heavy: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of long lists that are in another component than the list's leader."""
     of_leader = labels.select(F.col("rep").alias("leader"), F.col("c").alias("leads"))
     return heavy.join(labels, "rep").join(of_leader, "leader").where("c <> leads").select("value", "rep")
 
 
-def _blocked(left: DataFrame, right: DataFrame, labels: DataFrame, finder: _Finder) -> DataFrame:
+def _blocked(left: DataFrame, right: DataFrame, finder: _Finder) -> DataFrame:
     """Pairs of `left` and `right` in different components that the union sketches let through.
 
     Set sizes fall into classes by powers of the size ratio that a link allows, so a link joins equal or adjacent
@@ -232,7 +240,7 @@ def _blocked(left: DataFrame, right: DataFrame, labels: DataFrame, finder: _Find
 
     def packed(ids: DataFrame, side: str) -> DataFrame:
         blocks = max(1, -(-ids.count() // BLOCK))
-        rows = ids.join(finder.reps, "rep").join(labels, "rep").withColumn("size", sized)
+        rows = ids.join(finder.reps, "rep").join(finder.labels, "rep").withColumn("size", sized)
         rows = rows.withColumn("block", F.pmod(F.xxhash64("rep"), F.lit(blocks)))
         return rows.groupBy("size", "block").agg(F.collect_list(F.struct("rep", "n", "c", "sketch")).alias(side)).drop("block")
 
