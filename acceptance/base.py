@@ -202,7 +202,7 @@ ADVERSE = (
 )
 
 # Gold tables, unrounded but for what the tables themselves round. Each may use those before it.
-_GOLD_SQL = f"""
+GOLD_SQL = f"""
 potencial_solar AS (
   SELECT city, year, month, day, hour, avg({SOLAR}) AS potencial_solar_promedio,
     max({SOLAR}) AS potencial_solar_maximo, avg(uv_index) AS uv_index_promedio,
@@ -266,7 +266,7 @@ def over_weather(select: str, two_years: bool = False) -> str:
 
 
 def over_gold(select: str, two_years: bool = False) -> str:
-    return f"WITH {_weather_sql(two_years)}, {_GOLD_SQL} {select}"
+    return f"WITH {_weather_sql(two_years)}, {GOLD_SQL} {select}"
 
 
 def with_more(ctes: str, select: str, two_years: bool = False) -> str:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from acceptance.base import (
     CITIES,
+    GOLD_SQL,
     case,
     envelopes,
     over_gold,
@@ -91,7 +92,7 @@ def scan_gold_normalised(spark, sf_dir):
     return round_doubles(read_gold_normalised(spark, path))
 
 
-def _registered(spark, sf_dir, label: str) -> str:
+def registered_silver(spark, sf_dir, label: str) -> str:
     """Silver by site and month, registered in a database of its own; returns the table name."""
     base = fresh_path(spark, label)
     parts = ["city", "year", "month"]
@@ -112,7 +113,7 @@ def _registered(spark, sf_dir, label: str) -> str:
 )
 def catalog_register(spark, sf_dir):
     """The partitions that registration discovered."""
-    shown = spark.sql(f"SHOW PARTITIONS {_registered(spark, sf_dir, 'registered')}")
+    shown = spark.sql(f"SHOW PARTITIONS {registered_silver(spark, sf_dir, 'registered')}")
     found = F.str_to_map("partition", F.lit("/"), F.lit("="))
     return shown.select(*(found[name].alias(name) for name in ("city", "year", "month")))
 
@@ -125,7 +126,7 @@ def catalog_register(spark, sf_dir):
     )
 )
 def catalog_table_scan(spark, sf_dir):
-    table = read_table(spark, _registered(spark, sf_dir, "scanned"))
+    table = read_table(spark, registered_silver(spark, sf_dir, "scanned"))
     return round_doubles(
         table.groupBy("city", "year", "month").agg(
             F.count(F.lit(1)).alias("filas"), F.avg("temp").alias("temp_promedio")
@@ -245,21 +246,98 @@ def retention_keep(spark, sf_dir):
     return retention.keep(landed, CUTOFF).select("event_id", "topic", "year", "month", "day", "dt", "temp", "uv_index")
 
 
-@case()
+@case(with_more(LANDED, "SELECT DISTINCT topic, year, month, day, true AS con_datos FROM landed"))
 def retention_files(spark, sf_dir):
-    """Rows only: file sizes are the writer's business. Every file was written before tomorrow."""
+    """Folders of the files written before tomorrow, with whether they hold data: sizes are the writer's business."""
     tomorrow = dt.datetime.now() + dt.timedelta(days=1)
     files = retention.expired_files(spark, _landing_table(spark, sf_dir), tomorrow)
-    return retention.file_totals(files)
+    return files.groupBy("topic", "year", "month", "day").agg((F.sum("length") > 0).alias("con_datos"))
 
 
-@case(over_weather("SELECT city, count(*) AS filas, min(dt) AS desde, max(dt) AS hasta FROM weather GROUP BY city"))
+@case(with_more(LANDED, "SELECT event_id, topic, year, month, day FROM landed WHERE NOT old"))
+def retention_expire_folder(spark, sf_dir):
+    """The stream's own folder after its old arrival days have been deleted by path."""
+    path = _landing_table(spark, sf_dir)
+    jobs.expire_landing_folder(spark, path, CUTOFF + dt.timedelta(days=30), 30)
+    return read_table(spark, path).select("event_id", "topic", "year", "month", "day")
+
+
+ONE_COPY = f"""numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY dt, lat, lon ORDER BY {TIE_ORDER}) AS copy
+  FROM (SELECT *, CASE WHEN dt < {SPLIT} THEN dt * 1000 + event_id % 7 END AS emitted FROM weather)
+)"""
+
+
+@case(with_more(ONE_COPY, "SELECT dt, city, lat, lon, temp, pressure, humidity, clouds, wind_speed, wind_deg FROM numbered WHERE copy = 1"))
 def silver_job(spark, sf_dir):
-    """History arrays of two sites -> Silver job -> read back."""
-    root, path = write_history_arrays(spark, sf_dir), fresh_path(spark, "silver")
+    """History arrays of two sites, half of them also in consolidated history -> Silver job: one row per observation."""
+    root, path, history = write_history_arrays(spark, sf_dir), fresh_path(spark, "silver"), fresh_path(spark, "history")
+    jobs.consolidate(_history_rows(spark, envelopes(weather(spark, sf_dir).filter(F.col("dt") < SPLIT))), history)
     sources = [(f"{root}/city={city}", city) for city in CITIES]
-    jobs.build_silver(spark, sources, None, path)
-    stored = normalise(read_table(spark, path, SILVER))
-    return stored.groupBy("city").agg(
-        F.count(F.lit(1)).alias("filas"), F.min("dt").alias("desde"), F.max("dt").alias("hasta")
+    jobs.build_silver(spark, sources, history, path)
+    stored = read_table(spark, path, SILVER)
+    return stored.select("dt", "city", "lat", "lon", "temp", "pressure", "humidity", "clouds", "wind_speed", "wind_deg")
+
+
+MANY_MONTHS = 2_000  # more months than any lake has, reached from each event by its id
+DAYS_APART = 30
+
+
+@case(
+    with_more(
+        f"spread AS (SELECT DISTINCT (event_id % {MANY_MONTHS}) * {DAYS_APART} * 86400 AS dt, lat, lon FROM weather)",
+        "SELECT dt, lat, lon, CAST(year(make_timestamp(dt * 1000000)) AS INTEGER) AS year, CAST(month(make_timestamp(dt * 1000000)) AS INTEGER) AS month FROM spread",
     )
+)
+def consolidate_many_months(spark, sf_dir):
+    """A batch that touches some two thousand months, delivered twice."""
+    history = fresh_path(spark, "history")
+    spread = weather(spark, sf_dir).withColumn("dt", (F.col("event_id") % MANY_MONTHS) * DAYS_APART * 86_400)
+    rows = _history_rows(spark, envelopes(spread))
+    jobs.consolidate(rows, history)
+    jobs.consolidate(rows, history)
+    return read_table(spark, history, HISTORY_TABLE).select("dt", "lat", "lon", "year", "month")
+
+
+@case(over_weather("SELECT DISTINCT dt, lat, lon FROM weather WHERE event_id % 50 <> 7"))
+def update_with_bad_epoch(spark, sf_dir):
+    """Some deliveries carry milliseconds. The update ends well twice, and Silver holds the others."""
+    history, path, root, aside = (fresh_path(spark, name) for name in ("history", "silver", "gold", "aside"))
+    wrong = F.col("event_id") % 50 == 7
+    rows = weather(spark, sf_dir).withColumn("dt", F.when(wrong, F.col("dt") * 1000).otherwise(F.col("dt")))
+    for _ in range(2):
+        report = jobs.update_from_landing(spark, _history_rows(spark, envelopes(rows)), history, path, root, aside)
+    assert report["implausible"] == read_table(spark, aside).count() / 2
+    return read_table(spark, path).select("dt", "lat", "lon")
+
+
+CORRECTED = """corrected AS (
+  SELECT * REPLACE (CASE WHEN fixed THEN 20.0E0 ELSE temp END AS temp, CASE WHEN fixed THEN 50 ELSE humidity END AS humidity,
+    CASE WHEN fixed THEN 10 ELSE clouds END AS clouds, CASE WHEN fixed THEN 9.0E0 ELSE wind_speed END AS wind_speed,
+    CASE WHEN fixed THEN 6.0E0 ELSE uv_index END AS uv_index)
+  FROM (SELECT *, year = 2025 AND city = 'Patagonia' AS fixed FROM weather)
+)"""
+
+
+@case(
+    with_more(
+        CORRECTED + ", " + GOLD_SQL.replace("FROM weather", "FROM corrected"),
+        f"""SELECT city, year, month, reduccion_solar, reduccion_eolica, condicion_adversa, ocurrencias,
+        {r("temperatura_promedio")} AS temperatura_promedio, {r("humedad_promedio")} AS humedad_promedio,
+        {r("nubosidad_promedio")} AS nubosidad_promedio, {r("viento_promedio")} AS viento_promedio
+        FROM condiciones_criticas""",
+        two_years=True,
+    )
+)
+def gold_after_correction(spark, sf_dir):
+    """All rows of one site's last year are corrected to normal weather: its folder of conditions must go."""
+    root, stored = fresh_path(spark, "gold"), fresh_path(spark, "silver")
+    rows = add_time_parts(silver(spark, sf_dir, two_years=True)).select(*SILVER.fieldNames(), "year", "month")
+    layout = ["city", "year", "month"]
+    write_table(rows, stored, layout)
+    gold.write_gold(read_table(spark, stored, rows.schema), root)
+    normal = {"temp": F.lit(20.0), "humidity": F.lit(50), "clouds": F.lit(10), "wind_speed": F.lit(9.0), "uv_index": F.lit(6.0)}
+    corrected = rows.filter("city = 'Patagonia' and year = 2025").withColumns(normal)
+    write_table(corrected, stored, layout)
+    refresh.refresh_gold(read_table(spark, stored, rows.schema), root, refresh.touched_months(corrected))
+    return round_doubles(read_table(spark, f"{root}/condiciones_criticas"))

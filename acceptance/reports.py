@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from acceptance.base import CITIES, SILVER_LIST, case, over_gold, over_weather, r, round_doubles, silver
+from acceptance.lake import registered_silver
 from solvind.functions.calendar import add_time_parts
 from solvind.plans import catalog, gold, reports
 from solvind.schemas import SILVER
@@ -149,8 +150,7 @@ def _view(spark, sf_dir, name: str, two_years: bool = True) -> str:
     )
 )
 def sql_avg_temp_by_city(spark, sf_dir):
-    view = _view(spark, sf_dir, "weather_for_avg")
-    return round_doubles(catalog.avg_temp_by_city(spark, view, 2025, 1))
+    return round_doubles(catalog.avg_temp_by_city(spark, registered_silver(spark, sf_dir, "averaged"), 2025, 1))
 
 
 @case(over_weather("SELECT city, count(*) AS total FROM weather GROUP BY city"))
@@ -161,20 +161,20 @@ def sql_count_by_city(spark, sf_dir):
 SITE_MONTH = f"city = '{CITY}' AND year = 2025 AND month = 1"
 
 
-@case(over_weather(f"SELECT {SILVER_LIST}, year, month, day FROM weather WHERE {SITE_MONTH}", two_years=True))
+@case(over_weather(f"SELECT {SILVER_LIST}, year, month FROM weather WHERE {SITE_MONTH}", two_years=True))
 def sql_partition_filter(spark, sf_dir):
-    return catalog.partition_rows(spark, _view(spark, sf_dir, "weather_for_filter"), CITY, 2025, 1)
+    return catalog.partition_rows(spark, registered_silver(spark, sf_dir, "filtered"), CITY, 2025, 1)
 
 
 @case(
     over_weather(
-        f"""SELECT {SILVER_LIST}, year, month, day FROM weather WHERE {SITE_MONTH}
+        f"""SELECT {SILVER_LIST}, year, month FROM weather WHERE {SITE_MONTH}
         ORDER BY dt, lat, lon, temp, pressure, humidity, clouds, wind_speed, wind_deg, uv_index NULLS FIRST LIMIT 10""",
         two_years=True,
     )
 )
 def sql_partition_limit(spark, sf_dir):
-    return catalog.partition_head(spark, _view(spark, sf_dir, "weather_for_head"), CITY, 2025, 1)
+    return catalog.partition_head(spark, registered_silver(spark, sf_dir, "headed"), CITY, 2025, 1)
 
 
 @case(over_gold(f"SELECT city, score_total, date FROM ranking_dias WHERE city = '{CITY}'"))

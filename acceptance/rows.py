@@ -21,6 +21,7 @@ from solvind.operators import messages as topics
 from solvind.operators import normalise as shapes
 from solvind.operators import quality
 from solvind.operators.dedup import dedup
+from solvind.plans import jobs
 from solvind.plans.reports import preview
 from solvind.schemas import SILVER
 from solvind.sources import read_json_history, read_landing, read_table
@@ -54,6 +55,20 @@ def scan_json_multiline(spark, sf_dir):
     return shapes.union_sources(*frames)
 
 
+@case(over_weather("SELECT dt, city, CAST(pressure AS INTEGER) AS pressure, CAST(humidity AS INTEGER) AS humidity, clouds FROM weather"))
+def scan_json_fractions(spark, sf_dir):
+    """Documents whose whole measures arrive with a fraction, and a broken file beside them that is set aside."""
+    root, path, broken = (fresh_path(spark, name) for name in ("fractions", "silver", "quarantine"))
+    nested = documents(weather(spark, sf_dir)).drop("event_id")
+    part = lambda name: (F.col(f"main.{name}") + 0.25).alias(name)
+    untidy = nested.withColumn("main", F.struct("main.temp", part("pressure"), part("humidity"), "main.temp_min", "main.temp_max"))
+    untidy.write.partitionBy("city").json(root)
+    spark.createDataFrame([("{broken",)], "value string").write.mode("append").text(f"{root}/city={CITIES[0]}")
+    report = jobs.build_silver(spark, [(f"{root}/city={city}", city) for city in CITIES], None, path, multiline=False, quarantine=broken)
+    assert report["unreadable"] == 1 and read_table(spark, broken).first().text == "{broken"
+    return read_table(spark, path, SILVER).select("dt", "city", "pressure", "humidity", "clouds")
+
+
 @case(
     over_weather(
         """SELECT 'ab-' || event_id AS ab_id, dt * 1000 + event_id % 7 AS emitted_at, dt, lat, lon, temp,
@@ -71,7 +86,7 @@ def scan_json_lines(spark, sf_dir):
         "_airbyte_data.coord.lat",
         "_airbyte_data.coord.lon",
         "_airbyte_data.main.temp",
-        F.col("_airbyte_data.wind.deg").alias("wind_deg"),
+        F.col("_airbyte_data.wind.deg").cast("int").alias("wind_deg"),
         "_airbyte_data.name",
     )
 
@@ -149,9 +164,9 @@ def unwrap_envelope(spark, sf_dir):
         "dt",
         "coord.lat",
         "main.temp",
-        "main.humidity",
+        F.col("main.humidity").cast("int").alias("humidity"),
         F.col("wind.speed").alias("wind_speed"),
-        F.col("clouds.all").alias("clouds"),
+        F.col("clouds.all").cast("int").alias("clouds"),
         "name",
     )
 
@@ -170,8 +185,8 @@ def parse_messages(spark, sf_dir):
         F.coalesce("data.dt", absent).alias("dt"),
         "data.coord.lat",
         "data.main.temp",
-        F.coalesce("data.main.humidity", absent).alias("humidity"),
-        F.coalesce("data.wind.deg", absent).alias("wind_deg"),
+        F.coalesce(F.col("data.main.humidity").cast("int"), absent).alias("humidity"),
+        F.coalesce(F.col("data.wind.deg").cast("int"), absent).alias("wind_deg"),
         "data.name",
     )
 

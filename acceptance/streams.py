@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from acceptance.base import case, messages, over_weather, weather
 from acceptance.rows import READABLE
 from solvind.operators.messages import flatten_messages, parse_messages, split_malformed
+from solvind.plans import jobs
+from solvind.schemas import HISTORY_TABLE
 from solvind.sources import message_source, read_table
 from solvind.streaming import ingest
 from solvind.workspace import fresh_path
@@ -124,3 +126,37 @@ def stream_dedup_watermark(spark, sf_dir):
     _publish(rows, topic_dir)
     run()
     return read_table(spark, path).select("dt", "lat", "lon", "topic")
+
+
+@case(
+    over_weather(
+        f"""SELECT {TOPIC}, count(*) AS enviados, count(*) FILTER ({READABLE}) AS llegados,
+        count(*) FILTER (NOT ({READABLE})) AS apartados FROM weather GROUP BY ALL"""
+    )
+)
+def stream_quarantine(spark, sf_dir):
+    """Landed and set aside add up to what was sent; messages with one bad field land."""
+    topic_dir, path, checkpoint, aside = (fresh_path(spark, name) for name in ("topic", "landing", "checkpoint", "aside"))
+    sent = messages(weather(spark, sf_dir))
+    text = F.regexp_replace(F.col("value").cast("string"), '"humidity":[0-9]+', '"humidity":"n/a"')
+    sent.withColumn("value", text.cast("binary")).write.parquet(topic_dir)
+    source = message_source(spark, "files", path=topic_dir)
+    jobs.ingest_messages(source, path, checkpoint, every=None, quarantine=aside, ingested_at=_arrival())
+    for query in spark.streams.active:
+        query.awaitTermination()
+    landed = read_table(spark, path).groupBy("topic").agg(F.count(F.lit(1)).alias("llegados"), F.count("humidity").alias("con_humedad"))
+    apart = read_table(spark, aside).groupBy("topic").agg(F.count(F.lit(1)).alias("apartados"))
+    joined = sent.groupBy("topic").agg(F.count(F.lit(1)).alias("enviados")).join(landed.where("con_humedad = 0"), "topic").join(apart, "topic")
+    return joined.select("topic", "enviados", "llegados", "apartados")
+
+
+@case(over_weather(f"SELECT DISTINCT dt, lat, lon FROM weather WHERE {READABLE}"))
+def stream_late_first_delivery(spark, sf_dir):
+    """The later half of the messages arrives first. All land, and consolidation keeps one row per observation."""
+    topic_dir, path, checkpoint, history = (fresh_path(spark, name) for name in ("topic", "landing", "checkpoint", "history"))
+    rows = weather(spark, sf_dir)
+    for part in (rows.filter(F.col("dt") >= SPLIT), rows.filter(F.col("dt") < SPLIT), rows.filter(F.col("dt") < SPLIT)):
+        _publish(part, topic_dir)
+        _drain(ingest.landing_rows(message_source(spark, "files", path=topic_dir), _arrival()), path, checkpoint)
+    jobs.consolidate(jobs.landing_as_history(spark, path, "stream"), history)
+    return read_table(spark, history, HISTORY_TABLE).select("dt", "lat", "lon")

@@ -20,15 +20,17 @@ def _parser() -> argparse.ArgumentParser:
     landing.add_argument("--kind", choices=jobs.LANDING_KINDS, default="stream")
     landing.add_argument("--since", type=dt.date.fromisoformat, help="skip data that arrived before this day")
     landing.add_argument("--history", required=True, help="consolidated history table")
+    aside = argparse.ArgumentParser(add_help=False)
+    aside.add_argument("--quarantine", help="table for what cannot be read or cannot be true")
     units = argparse.ArgumentParser(add_help=False)
     units.add_argument("--temp-unit", choices=("C", "K"), default="C")
 
-    job.add_parser("consolidate", parents=[landing, units], help="landing -> history")
-    update = job.add_parser("update", parents=[landing, units], help="landing -> history -> Silver -> Gold, touched months")
+    job.add_parser("consolidate", parents=[landing, units, aside], help="landing -> history")
+    update = job.add_parser("update", parents=[landing, units, aside], help="landing -> history -> Silver -> Gold, touched months")
     update.add_argument("--silver", required=True)
     update.add_argument("--gold", required=True)
 
-    silver = job.add_parser("silver", parents=[units], help="documents and history -> Silver")
+    silver = job.add_parser("silver", parents=[units, aside], help="documents and history -> Silver")
     silver.add_argument("--documents", nargs="*", default=[], metavar="CITY=PATH")
     silver.add_argument("--json-lines", action="store_true", help="documents are JSON Lines, not arrays")
     silver.add_argument("--history")
@@ -39,7 +41,7 @@ def _parser() -> argparse.ArgumentParser:
     gold.add_argument("--silver", required=True)
     gold.add_argument("--gold", required=True)
 
-    stream = job.add_parser("stream", help="topics -> landing table")
+    stream = job.add_parser("stream", parents=[aside], help="topics -> landing table")
     stream.add_argument("--servers", required=True)
     stream.add_argument("--topics", required=True, help="comma-separated")
     stream.add_argument("--landing", required=True)
@@ -48,8 +50,10 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--retention", help='forget files older than this, such as 30d')
     stream.add_argument("--max-offsets", help="messages per micro-batch")
 
-    expire = job.add_parser("expire", help="drop old partitions of a landing catalog table")
-    expire.add_argument("--table", required=True)
+    expire = job.add_parser("expire", help="drop old arrival days of a landing table or folder")
+    what = expire.add_mutually_exclusive_group(required=True)
+    what.add_argument("--table", help="catalog table")
+    what.add_argument("--landing", help="landing folder")
     expire.add_argument("--days", type=int, default=LANDING_DAYS)
     return parser
 
@@ -60,25 +64,29 @@ def main(arguments: list[str] | None = None) -> None:
     if args.job in ("consolidate", "update"):
         rows = jobs.landing_as_history(spark, args.landing, args.kind, temp_unit=args.temp_unit, since=args.since)
         if args.job == "consolidate":
-            report = jobs.consolidate(rows, args.history)
+            report = jobs.consolidate(rows, args.history, args.quarantine)
         else:
-            report = jobs.update_from_landing(spark, rows, args.history, args.silver, args.gold)
+            report = jobs.update_from_landing(spark, rows, args.history, args.silver, args.gold, args.quarantine)
     elif args.job == "silver":
         documents = [(path, city) for city, path in (pair.split("=", 1) for pair in args.documents)]
         report = jobs.build_silver(
-            spark, documents, args.history, args.silver, args.partition_by, args.temp_unit, not args.json_lines
+            spark, documents, args.history, args.silver, args.partition_by, args.temp_unit, not args.json_lines,
+            quarantine=args.quarantine,
         )
     elif args.job == "gold":
-        report = jobs.build_gold(spark, args.silver, args.gold)
+        report = jobs.build_gold(spark, args.silver, args.gold, args.quarantine)
     elif args.job == "stream":
         limits = {"maxOffsetsPerTrigger": args.max_offsets} if args.max_offsets else {}
         jobs.run_stream(
-            spark, args.servers, args.topics, args.landing, args.checkpoint, args.every, args.retention, **limits
+            spark, args.servers, args.topics, args.landing, args.checkpoint, args.every, args.retention, args.quarantine, **limits
         ).awaitTermination()
         return
     else:
         today = dt.datetime.now(dt.timezone.utc).date()
-        report = {"partitions_dropped": jobs.expire_landing(spark, args.table, today, args.days)}
+        if args.table:
+            report = {"partitions_dropped": jobs.expire_landing(spark, args.table, today, args.days)}
+        else:
+            report = jobs.expire_landing_folder(spark, args.landing, today, args.days)
     print(json.dumps(report))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from solvind.schemas import EARLIEST, LATEST
+
 SECONDS_PER_HOUR = 3_600
 SECONDS_PER_DAY = 86_400
 
@@ -62,3 +64,8 @@ def add_ingestion_partitions(df: DataFrame, ts_col: str = "ingestion_timestamp")
     return df.withColumns(
         {"ingestion_date": day, "year": F.year(day), "month": F.month(day), "day": F.dayofmonth(day)}
     )
+
+
+def is_plausible(dt: Column) -> Column:
+    """The epoch second is one that an observation can have; false for NULL. Milliseconds, for one, are not."""
+    return F.coalesce(dt.between(EARLIEST, LATEST), F.lit(False))

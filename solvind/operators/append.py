@@ -7,30 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Row
 
 from solvind.operators.layout import write_table
-from solvind.operators.pruning import BROADCAST_ROWS, any_of, same_keys, semi_join, value_counts
+from solvind.operators.pruning import any_of, same_keys, semi_join, value_counts
 from solvind.schemas import HISTORY_PARTITIONS, OBSERVATION_KEY
 from solvind.sources.tables import load_or_empty
 
 
 def not_in_target(
-    df: DataFrame,
-    target: DataFrame,
-    keys: Sequence[str],
-    partition_by: Sequence[str],
-    counts: list[Row] | None,
+    df: DataFrame, target: DataFrame, keys: Sequence[str], partition_by: Sequence[str], counts: Sequence[Row]
 ) -> DataFrame:
     """Rows of `df` whose key the target does not hold. `partition_by` must be functions of the keys and
-    `counts` the rows of `df` per partition (None when there are too many partitions to list).
+    `counts` the rows of `df` per partition.
 
-    Only those partitions of the target are read, and only the key columns. A small batch is broadcast to
-    the target scan, so history is never shuffled; a large one is joined by shuffle on the keys, which are
-    unique on both sides and therefore not skewed.
+    Only those partitions of the target are read, and only the key columns. History is first cut to the keys of the
+    batch: a batch below the broadcast threshold goes to the history scan, so that history is not shuffled; a larger
+    one is joined by shuffle on the keys, which are unique on both sides and therefore not skewed.
     """
-    known = target if counts is None else target.filter(any_of(counts, partition_by))
-    known = known.select(*keys)
-    total = None if counts is None else sum(row["_rows"] for row in counts)
-    if total is not None and total <= BROADCAST_ROWS:
-        known = semi_join(known, df, keys, total)
+    known = semi_join(target.filter(any_of(counts, partition_by)).select(*keys), df, keys)
     return df.alias("n").join(known.alias("k"), same_keys("n", "k", keys), "left_anti")
 
 

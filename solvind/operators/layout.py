@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from solvind.workspace import fresh_path
+from solvind.workspace import staged_path
 
 
 def gather_partitions(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -44,9 +44,9 @@ def stage(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     """Store an intermediate result in the shared folder and read it back: (frame, rows).
 
     Unlike cached blocks, the copy survives lost executors, and each reader loads only the columns it
-    needs. It stays until the owner of the folder expires it.
+    needs. It stays until the job that runs ends (`workspace.staging`).
     """
-    path = fresh_path(df.sparkSession, label)
+    path = staged_path(df.sparkSession, label)
     rows = write_table(df, path)["rows"]
     return df.sparkSession.read.schema(df.schema).parquet(path), rows
 

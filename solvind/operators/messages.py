@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from solvind.schemas import WEATHER_MESSAGE
+from solvind.functions.calendar import is_plausible
+from solvind.schemas import LANDING_STREAM, WEATHER_MESSAGE
 
 CORRUPT = "_corrupt_record"
 MESSAGE_COLUMNS = {
@@ -26,17 +27,20 @@ MESSAGE_COLUMNS = {
 def parse_messages(df: DataFrame, schema: StructType = WEATHER_MESSAGE) -> DataFrame:
     """`value` (binary) and `topic` -> json_string, data struct, topic; other columns pass through.
 
-    Unreadable text leaves every field of `data` NULL and keeps the text in `data._corrupt_record`.
+    A field that does not fit its type is NULL, the others stand. Unreadable text leaves every field NULL. A message
+    with either keeps its text in `data._corrupt_record`. The document comes out of a one-element generator, which
+    filters are not pushed through: however it is split afterwards, each message is parsed once.
     """
     tracked = StructType([*schema.fields, StructField(CORRUPT, StringType())])
     text = F.col("value").cast("string")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return df.withColumns({"json_string": text, "data": F.from_json(text, tracked, options)}).drop("value")
+    kept = [F.col(name) for name in df.columns if name != "value"]
+    return df.select(*kept, text.alias("json_string"), F.explode(F.array(F.from_json(text, tracked, options))).alias("data"))
 
 
 def is_malformed() -> Column:
-    """No usable document: broken JSON, a tombstone, or no observation time."""
-    return F.col("data").isNull() | F.col(f"data.{CORRUPT}").isNotNull() | F.col("data.dt").isNull()
+    """No usable document: broken JSON, a tombstone, or no observation time that can be true."""
+    return F.col("data").isNull() | ~is_plausible(F.col("data.dt"))
 
 
 def split_malformed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -48,5 +52,6 @@ def split_malformed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 def flatten_messages(parsed: DataFrame, ingested_at: Column | None = None) -> DataFrame:
     """Flat landing columns. `ingested_at` defaults to the micro-batch time."""
     ingested_at = F.current_timestamp() if ingested_at is None else ingested_at
-    fields = [F.col(path).alias(name) for name, path in MESSAGE_COLUMNS.items()]
+    kinds = {field.name: field.dataType for field in LANDING_STREAM.fields}
+    fields = [F.col(path).try_cast(kinds[name]).alias(name) for name, path in MESSAGE_COLUMNS.items()]
     return parsed.select(*fields, "topic", ingested_at.alias("ingestion_timestamp"))

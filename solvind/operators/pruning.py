@@ -1,41 +1,52 @@
-"""Bounded facts about a batch that let the next scan skip partitions or the next join skip a shuffle."""
+"""Facts about a batch, bounded by the calendar, that let the next scan skip partitions."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections import defaultdict
+from collections.abc import Callable, Sequence
 from operator import or_
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-# More distinct values than this are not listed on the driver; callers then scan without the filter.
-LISTED_VALUES = 5_000
-# At three 8-byte columns and hash-table overhead, 500k rows stay near 50 MB per executor.
-BROADCAST_ROWS = 500_000
 
+def value_counts(df: DataFrame, columns: Sequence[str]) -> list[Row]:
+    """Rows per combination of calendar columns (`_rows`). Observation times are limited to plausible ones before
+    they get here, so there are as many combinations as the lake has months, whatever its number of rows."""
+    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows")).collect()
 
-def value_counts(df: DataFrame, columns: Sequence[str], limit: int = LISTED_VALUES) -> list[Row] | None:
-    """Rows per combination of calendar columns (`_rows`), or None when there are more than `limit`."""
-    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows")).limit(limit + 1).collect()
-    return counted if len(counted) <= limit else None
+
+def joined(parts: Sequence[Column], operator: Callable[[Column, Column], Column] = or_) -> Column:
+    """Conditions in a balanced tree: its depth is the logarithm of their number."""
+    parts = list(parts) or [F.lit(False)]
+    while len(parts) > 1:
+        parts = [operator(*parts[at : at + 2]) if at + 1 < len(parts) else parts[at] for at in range(0, len(parts), 2)]
+    return parts[0]
+
+
+def _one_of(name: str, values: Sequence[object]) -> Column:
+    listed = F.col(name).isin([value for value in values if value is not None])
+    return listed | F.col(name).isNull() if None in values else listed
 
 
 def any_of(rows: Sequence[Row], columns: Sequence[str]) -> Column:
-    """Predicate for the listed combinations; on partition columns it prunes folders."""
-    if len(columns) == 1:
-        (name,) = columns
-        values = [row[name] for row in rows]
-        listed = F.col(name).isin([value for value in values if value is not None])
-        return listed | F.col(name).isNull() if None in values else listed
+    """Predicate for the listed combinations; on partition columns it prunes folders.
 
-    def equals(name: str, value: object) -> Column:
-        return F.col(name).isNull() if value is None else F.col(name) == F.lit(value)
+    Values of the first column that go with the same values of the others share one term, so years with the same
+    months, as most years have, are one list."""
+    return _any_of(sorted({tuple(row[name] for name in columns) for row in rows}, key=repr), columns)
 
-    def all_equal(row: Row) -> Column:
-        return reduce(lambda left, right: left & right, (equals(name, row[name]) for name in columns))
 
-    return reduce(or_, (all_equal(row) for row in rows), F.lit(False))
+def _any_of(values: Sequence[tuple], columns: Sequence[str]) -> Column:
+    if len(columns) == 1:
+        return _one_of(columns[0], [value for (value,) in values])
+    rest: dict[object, list[tuple]] = defaultdict(list)
+    for first, *others in values:
+        rest[first].append(tuple(others))
+    alike: dict[tuple, list[object]] = defaultdict(list)
+    for first, others in rest.items():
+        alike[tuple(others)].append(first)
+    return joined([_one_of(columns[0], firsts) & _any_of(others, columns[1:]) for others, firsts in alike.items()])
 
 
 def same_keys(left: str, right: str, keys: Sequence[str]) -> list[Column]:
@@ -43,10 +54,6 @@ def same_keys(left: str, right: str, keys: Sequence[str]) -> list[Column]:
     return [F.col(f"{left}.{key}").eqNullSafe(F.col(f"{right}.{key}")) for key in keys]
 
 
-def semi_join(df: DataFrame, wanted: DataFrame, keys: Sequence[str], wanted_rows: int | None = None) -> DataFrame:
-    """Rows of `df` whose keys occur in `wanted`. Broadcast only when the counted size allows it;
-    otherwise a shuffled join, which AQE may still turn around."""
-    wanted = wanted.select(*keys)
-    if wanted_rows is not None and wanted_rows <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    return df.alias("l").join(wanted.alias("r"), same_keys("l", "r", keys), "left_semi")
+def semi_join(df: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of `df` whose keys occur in `wanted`. Pass a stored table: its size decides whether it is broadcast."""
+    return df.alias("l").join(wanted.select(*keys).alias("r"), same_keys("l", "r", keys), "left_semi")

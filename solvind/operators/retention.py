@@ -7,8 +7,11 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from solvind.workspace import delete_folders, folders
+
 # Fixed value.
 LANDING_DAYS = 30
+DROPPED_AT_ONCE = 500  # partitions in one statement
 
 
 def cutoff_day(today: dt.date, days: int = LANDING_DAYS) -> dt.date:
@@ -69,9 +72,33 @@ def drop_expired(spark: SparkSession, table: str, cutoff: dt.date) -> int:
         parts["topic"].alias("topic"), *(parts[name].cast("int").alias(name) for name in ("year", "month", "day"))
     )
     old = expired(keys, cutoff).collect()
-    if old:
+    for at in range(0, len(old), DROPPED_AT_ONCE):
         specs = ", ".join(
-            f"PARTITION (topic='{row.topic}', year={row.year}, month={row.month}, day={row.day})" for row in old
+            f"PARTITION (topic={_quoted(row.topic)}, year={row.year}, month={row.month}, day={row.day})"
+            for row in old[at : at + DROPPED_AT_ONCE]
         )
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
     return len(old)
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def expire_folders(spark: SparkSession, path: str, cutoff: dt.date) -> dict[str, int]:
+    """Delete the arrival-day folders (topic, year, month, day) of a landing table by path that are older than the cutoff.
+
+    Folders are listed by the file system, files are not; deleting is one call per folder. The stream sink's commit
+    log is left as it is: read the table with `ignoreMissingFiles`, as `landing_as_history` does. Folders that are no
+    dates stay.
+    """
+    old = []
+    for folder in folders(spark, f"{path.rstrip('/')}/topic=*/year=*/month=*/day=*"):
+        parts = dict(part.split("=", 1) for part in folder.split("/") if "=" in part)
+        try:
+            arrived = dt.date(int(parts["year"]), int(parts["month"]), int(parts["day"]))
+        except ValueError:
+            continue
+        if arrived < cutoff:
+            old.append(folder)
+    return {"folders": len(old), **delete_folders(spark, old)}

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from solvind.functions import conditions, energy
 from solvind.functions.calendar import epoch_to_timestamp, hour_of_day, hour_start, month_start, observed_day
-from solvind.operators.layout import write_table
+from solvind.operators.layout import stage, write_table
 from solvind.operators.ranking import LABELLED_DAYS, day_label, rank_both_ways
 from solvind.plans.rollup import PERIOD, by_day, by_month, days_to_months, mean, period_columns
 
@@ -216,11 +216,20 @@ def gold_frames(silver: DataFrame, daily: DataFrame | None = None) -> dict[str,
     }
 
 
-def write_day_rollup(silver: DataFrame, root: str, whole: bool = True) -> None:
-    """Store the day rollup of these rows beside the Gold tables; `whole=False` replaces only their months."""
+def _stored_days(silver: DataFrame) -> DataFrame:
     period = F.col(PERIOD)
-    daily = by_day(silver).withColumns({"year": F.year(period), "month": F.month(period)})
-    write_table(daily, f"{root}/{DAY_ROLLUP}", ROLLUP_PARTITIONS, dynamic=not whole)
+    return by_day(silver).withColumns({"year": F.year(period), "month": F.month(period)})
+
+
+def write_day_rollup(silver: DataFrame, root: str) -> None:
+    """Store the day rollup of these rows beside the Gold tables."""
+    write_table(_stored_days(silver), f"{root}/{DAY_ROLLUP}", ROLLUP_PARTITIONS, dynamic=False)
+
+
+def refresh_day_rollup(silver: DataFrame, kept: DataFrame, root: str) -> None:
+    """Replace months of the stored rollup by the days of these rows and by `kept`, its days of other sites."""
+    days, _ = stage(_stored_days(silver).unionByName(kept), "days")
+    write_table(days, f"{root}/{DAY_ROLLUP}", ROLLUP_PARTITIONS)
 
 
 def read_day_rollup(spark: SparkSession, root: str) -> DataFrame:

@@ -5,24 +5,26 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from solvind.functions.calendar import add_time_parts
+from solvind.functions.calendar import add_time_parts, is_plausible
 from solvind.operators.append import append_new
 from solvind.operators.dedup import dedup
 from solvind.operators.layout import stage, write_table
+from solvind.operators.messages import CORRUPT
 from solvind.operators.normalise import city_from_topic, normalise, union_sources, unwrap_envelope
 from solvind.operators.pruning import value_counts
 from solvind.operators.quality import require_fields, require_rows
-from solvind.operators.retention import cutoff_day, drop_expired
+from solvind.operators.retention import cutoff_day, drop_expired, expire_folders
 from solvind.plans.gold import write_gold
-from solvind.plans.refresh import refresh_gold, touched_months, within_months
+from solvind.plans.refresh import only_touched, refresh_gold, touched_months, within_months
 from solvind.schemas import ENVELOPE, HISTORY_PARTITIONS, HISTORY_TABLE, LANDING_STREAM, SILVER
 from solvind.sources import message_source, read_json_history, read_landing, read_table
 from solvind.sources.tables import load_or_empty
-from solvind.streaming.ingest import landing_rows, start_ingest
+from solvind.streaming.ingest import landing_rows, quarantine_rows, start_ingest
+from solvind.workspace import staging
 
 LANDING_KINDS = ("json", "avro", "stream")
 # Layout of a Silver table that is updated month by month.
@@ -46,31 +48,47 @@ def landing_as_history(
     if kind not in LANDING_KINDS:
         raise ValueError(f"unknown landing kind: {kind}")
     if kind == "stream":
-        landed = read_landing(spark, path, "parquet", LANDING_STREAM)
+        # The sink's log may still list files that have expired.
+        landed = read_landing(spark, path, "parquet", LANDING_STREAM, ignoreMissingFiles="true")
         if since:
             landed = landed.filter(F.make_date("year", "month", "day") >= F.lit(since))
         rows = normalise(landed, city or city_from_topic(F.col("topic")), temp_unit)
     else:
         options = {"modifiedAfter": f"{since}T00:00:00"} if since else {}
         rows = normalise(unwrap_envelope(read_landing(spark, path, kind, ENVELOPE, **options)), city, temp_unit)
-    return add_time_parts(rows).select(*HISTORY_TABLE.fieldNames())
+    possible = F.when(is_plausible(F.col("dt")), F.col("dt"))  # other times have no month, and may overflow
+    return add_time_parts(rows.withColumn("_possible", possible), "_possible").select(*HISTORY_TABLE.fieldNames())
 
 
-def _unique_batch(deliveries: DataFrame) -> tuple[DataFrame, dict[str, int]]:
-    """Latest delivery per observation, staged, with the counts of rows read and kept."""
+def _unique_batch(deliveries: DataFrame, quarantine: str | None) -> tuple[DataFrame, dict[str, int]]:
+    """Latest delivery per observation, staged, with the counts of rows read and kept.
+
+    Rows whose time cannot be true are no observations: they are counted as `implausible` and, when a `quarantine`
+    table is named, appended to it. Rows without a time stay, as they always have.
+    """
     seen = Observation()
     observed = deliveries.observe(seen, F.count(F.lit(1)).alias("read"))
-    batch, unique = stage(dedup(observed), "batch")
-    return batch, {"read": seen.get.get("read", 0), "unique": unique}
-
-
-def consolidate(deliveries: DataFrame, history_path: str) -> dict[str, int]:
+    unique_rows, unique = stage(dedup(observed), "batch")
+    possible = F.col("dt").isNull() | is_plausible(F.col("dt"))
+    counts = {"read": seen.get.get("read", 0), "unique": unique}
+    aside = unique_rows.filter(~possible)
+    implausible = aside.count()
+    if implausible:
+        counts |= {"implausible": implausible}
+        if quarantine:
+            write_table(aside.drop(*HISTORY_PARTITIONS), quarantine, mode="append")
+    return unique_rows.filter(possible), counts
+
+
+def consolidate(deliveries: DataFrame, history_path: str, quarantine: str | None = None) -> dict[str, int]:
     """Move landing rows to history: latest delivery per observation, only observations history lacks.
 
-    Returns rows read, unique observations among them, and rows written, all counted by the run itself.
+    Returns rows read, unique observations among them, and rows written, all counted by the run itself, and
+    `implausible` when there were any.
     """
-    batch, counts = _unique_batch(deliveries)
-    return {**counts, **append_new(batch, history_path, partition_by=HISTORY_PARTITIONS)}
+    with staging(deliveries.sparkSession):
+        batch, counts = _unique_batch(deliveries, quarantine)
+        return {**counts, **append_new(batch, history_path, partition_by=HISTORY_PARTITIONS)}
 
 
 def _with_layout(silver: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -87,18 +105,33 @@ def build_silver(
     temp_unit: str = "C",
     multiline: bool = True,
     gather: bool = True,
+    quarantine: str | None = None,
 ) -> dict[str, int]:
-    """History documents, given as (path, city), and the consolidated history -> Silver.
+    """History documents, given as (path, city), and the consolidated history -> Silver, one row per observation.
 
+    An observation that both hold comes from history, the later delivery. Documents without a time that can be true,
+    broken ones among them, are left out, counted as `unreadable`, and with `quarantine` appended there as text.
     `gather=False` saves the shuffle of the whole table; use it when a task meets few output folders,
     as with few sites.
     """
-    frames = [normalise(read_json_history(spark, path, multiline), city, temp_unit) for path, city in documents]
-    if history_path:
-        history = load_or_empty(spark, history_path, HISTORY_TABLE)
-        frames.append(normalise(history).drop("ingestion_timestamp"))
-    silver = require_rows(require_fields(union_sources(*frames), SILVER), "Silver input")
-    return write_table(_with_layout(silver, partition_by), silver_path, partition_by, dynamic=False, gather=gather)
+    with staging(spark):
+        frames, unreadable = [], 0
+        for path, city in documents:
+            read = read_json_history(spark, path, multiline, corrupt=CORRUPT)
+            aside, bad = stage(read.filter(~is_plausible(F.col("dt"))).select(F.lit(city).alias("city"), *read.columns), "unreadable")
+            unreadable += bad
+            if bad and quarantine:
+                text = F.coalesce(CORRUPT, F.to_json(F.struct(*(name for name in read.columns if name != CORRUPT))))
+                write_table(aside.select("city", text.alias("text")), quarantine, mode="append")
+            frames.append(normalise(read.filter(is_plausible(F.col("dt"))), city, temp_unit))
+        if history_path:
+            frames.append(normalise(load_or_empty(spark, history_path, HISTORY_TABLE)))
+        rows = union_sources(*frames)
+        if "ingestion_timestamp" not in rows.columns:
+            rows = rows.withColumn("ingestion_timestamp", F.lit(None).cast("timestamp"))
+        silver = require_rows(require_fields(dedup(rows).drop("ingestion_timestamp"), SILVER), "Silver input")
+        written = write_table(_with_layout(silver, partition_by), silver_path, partition_by, dynamic=False, gather=gather)
+        return written | ({"unreadable": unreadable} if unreadable else {})
 
 
 def build_gold(spark: SparkSession, silver_path: str, gold_root: str) -> dict[str, int]:
@@ -106,22 +139,28 @@ def build_gold(spark: SparkSession, silver_path: str, gold_root: str) -> dict[st
 
 
 def update_from_landing(
-    spark: SparkSession, deliveries: DataFrame, history_path: str, silver_path: str, gold_root: str
+    spark: SparkSession,
+    deliveries: DataFrame,
+    history_path: str,
+    silver_path: str,
+    gold_root: str,
+    quarantine: str | None = None,
 ) -> dict[str, int]:
     """Landing -> history -> Silver -> Gold for the site-months the deliveries touch.
 
-    Work follows the size of the touched months, not of the lake. Silver is laid out by site and month
-    and holds what history holds.
+    Work follows the size of the touched site-months, not of the lake; the files of other sites and months stay.
+    Silver is laid out by site and month and holds what history holds.
     """
-    batch, counts = _unique_batch(deliveries)
-    counts |= append_new(batch, history_path, partition_by=HISTORY_PARTITIONS)
-    touched = touched_months(batch)
-    months = value_counts(touched, ["year", "month"])
-    history = load_or_empty(spark, history_path, HISTORY_TABLE)
-    recent = history if months is None else within_months(history, months)
-    silver = _with_layout(normalise(recent).drop("ingestion_timestamp"), SILVER_BY_MONTH)
-    counts["silver"] = write_table(silver, silver_path, SILVER_BY_MONTH)["rows"]
-    return {**counts, **refresh_gold(read_table(spark, silver_path, silver.schema), gold_root, touched)}
+    with staging(spark):
+        batch, counts = _unique_batch(deliveries, quarantine)
+        counts |= append_new(batch, history_path, partition_by=HISTORY_PARTITIONS)
+        touched, _ = stage(touched_months(batch), "touched")
+        months = value_counts(touched, ["year", "month"])
+        recent = within_months(load_or_empty(spark, history_path, HISTORY_TABLE), months)
+        rows = _with_layout(normalise(recent).drop("ingestion_timestamp"), SILVER_BY_MONTH)
+        silver = only_touched(rows, touched, SILVER_BY_MONTH)
+        counts["silver"] = write_table(silver, silver_path, SILVER_BY_MONTH)["rows"]
+        return {**counts, **refresh_gold(read_table(spark, silver_path, rows.schema), gold_root, touched)}
 
 
 def run_stream(
@@ -132,13 +171,38 @@ def run_stream(
     checkpoint: str,
     every: str = "1 minute",
     retention: str | None = None,
+    quarantine: str | None = None,
     **options: str,
 ) -> StreamingQuery:
-    """Follow topics into the landing table until stopped."""
+    """Follow topics into the landing table until stopped. Messages that cannot be read go, as text, to `quarantine`."""
     messages = message_source(spark, "kafka", servers=servers, topics=topics, **options)
-    return start_ingest(landing_rows(messages), path, checkpoint, every, retention=retention)
+    return ingest_messages(messages, path, checkpoint, every, retention, quarantine)
+
+
+def ingest_messages(
+    messages: DataFrame,
+    path: str,
+    checkpoint: str,
+    every: str | None = "1 minute",
+    retention: str | None = None,
+    quarantine: str | None = None,
+    ingested_at: Column | None = None,
+) -> StreamingQuery:
+    """Every message to one of two tables: landing rows, or with `quarantine` the text of what cannot be read.
+
+    The second sink is a query of its own with a checkpoint of its own, so either can fail and restart alone.
+    Returns the query of the landing table.
+    """
+    if quarantine:
+        start_ingest(quarantine_rows(messages), quarantine, f"{checkpoint}-quarantine", every, ("topic",), retention)
+    return start_ingest(landing_rows(messages, ingested_at), path, checkpoint, every, retention=retention)
 
 
 def expire_landing(spark: SparkSession, table: str, today: dt.date, days: int) -> int:
-    """Drop landing partitions older than `days`; returns how many."""
+    """Drop partitions of a catalog table older than `days`; returns how many."""
     return drop_expired(spark, table, cutoff_day(today, days))
+
+
+def expire_landing_folder(spark: SparkSession, path: str, today: dt.date, days: int) -> dict[str, int]:
+    """Delete the arrival days of a landing folder older than `days`; returns folders, files and bytes that went."""
+    return expire_folders(spark, path, cutoff_day(today, days))

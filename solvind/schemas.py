@@ -12,18 +12,21 @@ def struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, dtype) for name, dtype in fields.items()])
 
 
+# The shapes in which weather documents arrive. Whole measures are read as doubles, since deliveries may
+# carry fractions, and cast afterwards.
+
 # One message on a topic (the JSON inside `value`).
 WEATHER_MESSAGE = struct(
     coord=struct(lon=DOUBLE, lat=DOUBLE),
-    main=struct(temp=DOUBLE, humidity=INT, pressure=INT),
-    wind=struct(speed=DOUBLE, deg=INT),
-    clouds=struct(all=INT),
+    main=struct(temp=DOUBLE, humidity=DOUBLE, pressure=DOUBLE),
+    wind=struct(speed=DOUBLE, deg=DOUBLE),
+    clouds=struct(all=DOUBLE),
     dt=LONG,
     name=STRING,
 )
 
 MAIN_FULL = struct(
-    temp=DOUBLE, temp_min=DOUBLE, temp_max=DOUBLE, feels_like=DOUBLE, pressure=INT, humidity=INT
+    temp=DOUBLE, temp_min=DOUBLE, temp_max=DOUBLE, feels_like=DOUBLE, pressure=DOUBLE, humidity=DOUBLE
 )
 
 # One element of a history array.
@@ -33,8 +36,8 @@ HISTORY_DOCUMENT = struct(
     lat=DOUBLE,
     lon=DOUBLE,
     main=MAIN_FULL,
-    clouds=struct(all=INT),
-    wind=struct(speed=DOUBLE, deg=INT),
+    clouds=struct(all=DOUBLE),
+    wind=struct(speed=DOUBLE, deg=DOUBLE),
     uv_index=DOUBLE,
 )
 
@@ -46,9 +49,9 @@ ENVELOPE = struct(
         dt=LONG,
         coord=struct(lat=DOUBLE, lon=DOUBLE),
         main=MAIN_FULL,
-        wind=struct(speed=DOUBLE, deg=INT),
-        clouds=struct(all=INT),
-        visibility=INT,
+        wind=struct(speed=DOUBLE, deg=DOUBLE),
+        clouds=struct(all=DOUBLE),
+        visibility=DOUBLE,
         weather=T.ArrayType(struct(description=STRING)),
         name=STRING,
     ),
@@ -102,3 +105,6 @@ HISTORY_PARTITIONS = ("year", "month")
 
 # Identity of an observation.
 OBSERVATION_KEY = ("dt", "lat", "lon")
+
+# Observation times, in seconds, that can be true: the years 1900 to 2199. Others are mistakes of unit or of clock.
+EARLIEST, LATEST = -2_208_988_800, 7_258_118_399

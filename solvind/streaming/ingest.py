@@ -35,7 +35,10 @@ def dedup_within_watermark(
     keys: Sequence[str] = OBSERVATION_KEY,
 ) -> DataFrame:
     """Drop repeats of an observation that arrive within `delay`. State holds one entry per key and is
-    dropped behind the watermark."""
+    dropped behind the watermark.
+
+    A row older than the watermark is dropped even if it is the first of its observation: no bounded state can tell.
+    Where late first deliveries count, land every row without this and let `consolidate` remove repeats."""
     if event_time not in rows.columns:
         rows = rows.withColumn(event_time, F.timestamp_seconds("dt"))
     return rows.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))

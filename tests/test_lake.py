@@ -1,11 +1,12 @@
 import datetime as dt
-import shutil
+from pathlib import Path
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from solvind.functions.calendar import add_ingestion_partitions, add_time_parts
-from solvind.operators import append, pruning, retention
+from solvind.operators import pruning, retention
 from solvind.operators.layout import replace_table, write_table
 from solvind.plans import gold, jobs, refresh
 from solvind.schemas import HISTORY_TABLE, SILVER
@@ -62,13 +63,17 @@ def test_replace_table_from_itself(spark, folder):
     assert values(read_table(spark, folder("t")), "city") == [("Patagonia",)]
 
 
-@pytest.mark.parametrize("path", ["broadcast", "shuffled", "unlisted"])
-def test_append_is_idempotent_on_every_join_path(spark, folder, monkeypatch, path):
-    if path != "broadcast":
-        monkeypatch.setattr(append, "BROADCAST_ROWS", 0)
-        monkeypatch.setattr(pruning, "BROADCAST_ROWS", 0)
-    if path == "unlisted":
-        monkeypatch.setattr(append, "value_counts", lambda df, columns: pruning.value_counts(df, columns, limit=1))
+@pytest.mark.parametrize("path", ["broadcast", "shuffled"])
+def test_append_is_idempotent_on_every_join_path(spark, folder, path):
+    if path == "shuffled":
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        _append_repeatedly(spark, folder)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _append_repeatedly(spark, folder):
     changes = [{"dt": epoch(2024, month, 1)} for month in (1, 2, 3)] + [{"lat": None}, {"dt": None}]
     batch = deliveries(spark, *changes)
     first = jobs.consolidate(batch, folder("h"))
@@ -88,9 +93,9 @@ def first_year(spark):
     ]
 
 
-def test_refresh_equals_full_build(spark, folder, monkeypatch):
+def test_refresh_equals_full_build(spark, folder):
     """The second year pushes every listed day of Patagonia's first year out of both top lists, one row is
-    late and one has no time. With listed months and sites, and with too many to list."""
+    late and one has no time."""
     old = first_year(spark)
     new = [
         {"city": "Patagonia", "dt": epoch(2025, 6, day), "wind_speed": 30.0 + day if day <= 12 else 0.0}
@@ -100,15 +105,11 @@ def test_refresh_equals_full_build(spark, folder, monkeypatch):
     before, after = silver_rows(spark, *old), silver_rows(spark, *old, *new)
     touched = refresh.touched_months(silver_rows(spark, *new))
     gold.write_gold(before, folder("listed"))
-    shutil.copytree(folder("listed"), folder("unlisted"))
     gold.write_gold(after, folder("full"))
     refresh.refresh_gold(after, folder("listed"), touched)
     assert_same_gold(spark, folder("listed"), folder("full"))
     ranked_years = values(read_table(spark, folder("listed") + "/ranking_dias").filter("city = 'Patagonia'"), "year")
     assert set(ranked_years) == {(2025,)}
-    monkeypatch.setattr(refresh, "value_counts", lambda df, columns: None)
-    refresh.refresh_gold(after, folder("unlisted"), touched)
-    assert_same_gold(spark, folder("unlisted"), folder("full"))
 
 
 def test_refresh_without_touched_rows_writes_nothing(spark, folder):
@@ -198,3 +199,69 @@ def test_drop_expired_partitions(spark, folder):
     assert spark.table("landing_db.stream").count() == 6
     assert jobs.expire_landing(spark, "landing_db.stream", dt.date(2026, 3, 9), 30) == 0
     spark.sql("DROP DATABASE landing_db CASCADE")
+
+
+def test_correction_to_normal_removes_the_stale_folder(spark, folder):
+    sites = [{"city": city, "clouds": 95, "humidity": 95} for city in ("A", "B")]
+    gold.write_gold(silver_rows(spark, *sites), folder("gold"))
+    after = silver_rows(spark, {"city": "A", "clouds": 5, "humidity": 50, "temp": 20.0, "wind_speed": 9.0}, sites[1])
+    refresh.refresh_gold(after, folder("gold"), refresh.touched_months(after.filter("city = 'A'")))
+    assert values(read_table(spark, folder("gold") + "/condiciones_criticas"), "city") == [("B",)]
+
+
+def test_files_of_untouched_sites_stay(spark, folder):
+    paths = folder("history"), folder("silver"), folder("gold")
+    jobs.update_from_landing(spark, deliveries(spark, *first_year(spark)), *paths)
+
+    def files(name):
+        return {str(file) for file in Path(folder(name)).rglob("part-*")}
+
+    before = files("silver"), files("gold")
+    jobs.update_from_landing(spark, deliveries(spark, {"dt": epoch(2024, 2, 20), "city": "Patagonia", "lat": -41.8}, seconds=60), *paths)
+    for old, new in zip(before, (files("silver"), files("gold"))):
+        touched = {file for file in old if "city=Patagonia/year=2024/month=2" in file}
+        untouched = {file for file in old if "city=Riohacha/year=2024/month=" in file or "city=Patagonia/year=2024/month=1/" in file}
+        assert touched and untouched and not touched & new and untouched <= new
+
+
+def test_milliseconds_go_to_quarantine_and_the_job_ends(spark, folder):
+    paths = folder("history"), folder("silver"), folder("gold")
+    rows = deliveries(spark, {}, {"dt": epoch(2024, 1, 1) * 1000}, {"dt": -(10**11)})
+    for _ in range(2):
+        report = jobs.update_from_landing(spark, rows, *paths, quarantine=folder("aside"))
+    assert (report["read"], report["implausible"], report["rows"]) == (3, 2, 0)
+    assert read_table(spark, folder("silver")).count() == 1 and read_table(spark, folder("aside")).count() == 4
+
+
+@pytest.mark.parametrize("n", [1, 400, 5_000, 20_000])
+def test_predicates_of_many_months(spark, n):
+    months = [Row(year=1900 + k // 12 + (k % 7 == 0) * 3000, month=k % 12 + 1) for k in range(n)]
+    wanted = {(row.year, row.month) for row in months}
+    frame = spark.createDataFrame(sorted(wanted)[:50] + [(1, 1), (1899, 12), (99_999, 1)], "year int, month int")
+    assert frame.filter(pruning.any_of(months, ["year", "month"])).count() == min(50, len(wanted))
+    stamps = silver_rows(spark, {"dt": epoch(1900, 1, 5)}, {"dt": epoch(1899, 12, 31)})
+    assert refresh.within_months(stamps, months).count() == (1 if (1900, 1) in wanted else 0)
+
+
+def test_nothing_staged_is_left(spark, folder, monkeypatch):
+    from solvind import workspace
+
+    root = Path(folder("shared"))
+    root.mkdir()
+    monkeypatch.setattr(workspace, "shared_root", lambda spark: str(root))
+    paths = folder("history"), folder("silver"), folder("gold")
+    jobs.update_from_landing(spark, deliveries(spark, *first_year(spark)), *paths)
+    assert not list(root.iterdir())
+
+
+def test_overlapping_documents_and_history_give_one_row(spark, folder, tmp_path):
+    jobs.consolidate(deliveries(spark, {"temp": 1.0}), folder("history"))
+    documents = tmp_path / "documents"
+    documents.mkdir()
+    (documents / "a.json").write_text('[{"dt": 1704110400, "lat": 11.5, "lon": -72.9, "main": {"temp": 2.0, "pressure": 1012.6}}, {"dt": 1704114000, "lat": 11.5, "lon": -72.9, "main": {"pressure": 1013.25}}]')
+    (documents / "b.json").write_text("[{broken")
+    sources = [(str(documents), "Riohacha")]
+    report = jobs.build_silver(spark, sources, folder("history"), folder("silver"), quarantine=folder("aside"))
+    assert report == {"rows": 2, "unreadable": 1}
+    assert sorted(values(read_table(spark, folder("silver")), "dt", "temp", "pressure")) == [(1704110400, 1.0, 1012), (1704114000, None, 1013)]
+    assert values(read_table(spark, folder("aside")), "city", "text") == [("Riohacha", "[{broken")]

@@ -98,15 +98,19 @@ def test_union_by_name(spark):
     assert sorted(values(union_sources(left, right), "x", "y", "z"), key=repr) == [(1, "a", None), (None, "b", 2.5)]
 
 
+MILLISECONDS = MESSAGE.replace("1704110400", "1704110400000")
+
+
 def test_good_and_malformed_messages(spark):
-    texts = [MESSAGE, "{bad", "", None, '{"name": "no time"}', MESSAGE.replace("28.0", '"hot"')]
+    texts = [MESSAGE, "{bad", "", None, '{"name": "no time"}', MESSAGE.replace("28.0", '"hot"'), MILLISECONDS]
     parsed = topics.parse_messages(topic_rows(spark, *texts))
     good, bad = topics.split_malformed(parsed)
     assert good.count() + bad.count() == len(texts)
     assert values(topics.flatten_messages(good), "dt", "temp", "wind_deg", "city_name") == [
-        (1704110400, 28.0, 90, "Riohacha")
+        (1704110400, 28.0, 90, "Riohacha"),
+        (1704110400, None, 90, "Riohacha"),
     ]
-    assert {text for (text,) in values(bad, "json_string")} == {text for text in texts if text != MESSAGE}
+    assert {text for (text,) in values(bad, "json_string")} == {"{bad", "", None, '{"name": "no time"}', MILLISECONDS}
 
 
 def test_flatten_stamps_ingestion(spark):
