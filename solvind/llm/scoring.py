@@ -29,6 +29,7 @@ from solvind.workspace import fresh_path
 END = np.uint64(0x5EED0FDA7A5E7EED)  # the token after each text, and the context of the first word
 WORDS_PER_PART = 1_000_000  # training tokens: a bound for what a part's task holds
 FLUSHED = 2_000_000  # n-grams that a task counts before it passes them on
+SCORED_TOGETHER = 1_000_000  # tokens
 CODES = 255  # quantised values, 8 bits each
 LOWEST, HIGHEST = -12.0, 0.0  # log10 that codes span
 
@@ -235,78 +236,51 @@ class Trie:
 
 
 class Level:
-    """A part of level 2: contexts from `first` on, where each one's words begin, the words, a code for each."""
+    """A part of level 2: contexts from `first` on; pointers, monotone, to where each one's words begin; words; codes.
+
+    A context's words stand relative to its pointer: the number of a word is pointer + id, and the next context's
+    pointer is one above the last number. So all numbers ascend, and a word follows a context if its number is there
+    and below the next pointer.
+    """
 
     def __init__(self, first: int, pointers: EliasFano, followers: EliasFano, codes: np.ndarray):
         self.first, self.pointers, self.followers, self.codes = first, pointers, followers, codes
 
     @classmethod
     def read(cls, path: str) -> Level:
-        header, arrays = read_file(path)
-        sequences = [EliasFano(*header["shapes"][k], *arrays[3 * k : 3 * k + 3]) for k in range(2)]
-        return cls(header["first"], *sequences, arrays[6])
+        if path not in _levels:
+            header, arrays = read_file(path)
+            sequences = [EliasFano(*header["shapes"][k], *arrays[3 * k : 3 * k + 3]) for k in range(2)]
+            _levels[path] = cls(header["first"], *sequences, arrays[6])
+        return _levels[path]
 
     @staticmethod
     def write(path: str, context: np.ndarray, word: np.ndarray, codes: np.ndarray) -> None:
-        """Words stand relative to their context: each context's begin above the last value of the one before."""
         first, last = int(context[0]), int(context[-1])
         starts = np.searchsorted(context, np.arange(first, last + 2))
-        ends = np.append(word[starts[1:-1] - 1], 0)  # the last word so far, also for contexts without words
-        ends[:-1][np.diff(starts)[:-1] == 0] = 0
-        base = np.concatenate([[0], np.cumsum(ends[:-1] + 1)])
-        sequences = [EliasFano.of(starts), EliasFano.of(base[context - first] + word)]
+        ends = word[np.maximum(starts[1:] - 1, 0)] + 1
+        ends[np.diff(starts) == 0] = 1  # a context without words
+        pointers = np.concatenate([[0], np.cumsum(ends)])
+        sequences = [EliasFano.of(pointers), EliasFano.of(pointers[context - first] + word)]
         header = {"first": first, "shapes": [(s.length, s.width) for s in sequences]}
         write_file(path, header, [a for s in sequences for a in s.arrays()] + [codes.astype(np.uint8)])
 
     def find(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Code of each (context, word) or -1: the context's range from its pointers, then a binary search in it."""
+        """Code of each (context, word) or -1."""
         found = np.full(len(context), -1, np.int64)
         place = context - self.first
         inside = np.flatnonzero((place >= 0) & (place + 1 < self.pointers.length))
         unique, inverse = np.unique(place[inside], return_inverse=True)
-        if not len(unique):
-            return found
-        low, high = (self.pointers[unique + k].astype(np.int64)[inverse] for k in (0, 1))
-        bases = self._bases(unique)[inverse]
-        some = np.flatnonzero(low < high)
-        low, high, inside = low[some], high[some], inside[some]
-        target = (bases[some] + word[inside]).astype(np.uint64)
-        top = high
-        active = np.arange(len(low))
-        while len(active):
-            middle = (low[active] + high[active]) // 2
-            under = self.followers[middle] < target[active]
-            low[active] = np.where(under, middle + 1, low[active])
-            high = high.copy()
-            high[active] = np.where(under, high[active], middle)
-            active = active[low[active] < high[active]]
-        hit = np.flatnonzero(low < top)
-        hit = hit[self.followers[low[hit]] == target[hit]]
-        found[inside[hit]] = self.codes[low[hit]]
+        if len(unique):
+            begin, end = (self.pointers[unique + k].astype(np.int64)[inverse] for k in (0, 1))
+            number = begin + word[inside]
+            spot = self.followers.find(number)
+            hit = np.flatnonzero((spot >= 0) & (number < end))
+            found[inside[hit]] = self.codes[spot[hit]]
         return found
 
-    def _bases(self, places: np.ndarray) -> np.ndarray:
-        """Where each context's values begin: one above the last value before, and one more for each context without words between."""
-        starts = self.pointers[places].astype(np.int64)
-        last = np.zeros(len(places), np.int64)
-        some = starts > 0
-        if not some.any():
-            return places.copy()
-        last[some] = self.followers[starts[some] - 1].astype(np.int64) + 1
-        # Contexts without words add one each; count them between the owner of the last value and this context.
-        owner = np.zeros(len(places), np.int64)
-        owner[some] = self._owner(starts[some] - 1) + 1
-        return last + (places - owner)
-
-    def _owner(self, positions: np.ndarray) -> np.ndarray:
-        """The context that the value at each position belongs to: the last pointer not above it."""
-        low, high = np.zeros(len(positions), np.int64), np.full(len(positions), self.pointers.length - 1, np.int64)
-        while (active := np.flatnonzero(high - low > 1)).size:
-            middle = (low[active] + high[active]) // 2
-            under = self.pointers[middle].astype(np.int64) <= positions[active]
-            low[active] = np.where(under, middle, low[active])
-            high[active] = np.where(under, high[active], middle)
-        return low
+
+_levels: dict[str, Level] = {}
 
 
 def encoded(log10: np.ndarray) -> np.ndarray:
@@ -446,6 +420,24 @@ def unigram(trie: Trie, counts: np.ndarray) -> np.ndarray:
 # --- scoring --------------------------------------------------------------------------------------------------------
 
 
+def _together(runs: Iterator[tuple[int, int, np.ndarray, np.ndarray]]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Runs of texts joined to about `SCORED_TOGETHER` tokens: each part of the trie is then asked less often for more."""
+    kept: list[tuple[int, int, np.ndarray, np.ndarray]] = []
+    for run in runs:
+        kept.append(run)
+        if sum(len(tokens) for _, _, tokens, _ in kept) >= SCORED_TOGETHER:
+            yield _one_run(kept)
+            kept = []
+    if kept:
+        yield _one_run(kept)
+
+
+def _one_run(runs: list[tuple[int, int, np.ndarray, np.ndarray]]) -> tuple[int, int, np.ndarray, np.ndarray]:
+    sizes = np.cumsum([0, *(len(tokens) for _, _, tokens, _ in runs)])
+    edges = np.concatenate([[0], *(run[3][1:] + size for run, size in zip(runs, sizes))])
+    return runs[0][0], sum(run[1] for run in runs), np.concatenate([run[2] for run in runs]), edges
+
+
 def score(docs: DataFrame, trie: Trie, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
@@ -459,7 +451,7 @@ def score(docs: DataFrame, trie: Trie, id_column: str = "doc_id", text_column: s
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         norm = trie.tokens + 0.5 * (trie.words + 1)
         for batch in batches:
-            for row, rows, tokens, edges in tokens_of(batch.column(1)):
+            for row, rows, tokens, edges in _together(tokens_of(batch.column(1))):
                 unique, inverse = np.unique(tokens, return_inverse=True)
                 ids, counts, before = trie.look_up(unique)
                 base = np.log10((counts + 0.5) / norm)[inverse]
