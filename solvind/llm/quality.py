@@ -78,7 +78,7 @@ def train(docs: DataFrame, labels: DataFrame, sampled: int = SAMPLED, id_column:
     y = table[:, 0]
     if 0 < y.sum() < len(y):
         share = np.where(y == 1, known.get(1, 0) / y.sum(), known.get(0, 0) / (len(y) - y.sum()))  # rows that one sampled row stands for
-        model.calibration = Logistic(model.features(table[:, 1:]), y, share / share.mean(), ridge=0.1)
+        model.calibration = Logistic(model.features(table[:, 1:]), y, share / share.mean(), ridge=1e-3)
     return model
 
 
