@@ -253,8 +253,9 @@ def pack(pieces: DataFrame, sequence: int = SEQUENCE, open_bins: int = OPEN_BINS
     `SORTED_TOGETHER`, the longest of a batch first, and go online into at most `open_bins` bins a task.
     Repeated rows are packed as often as they occur; an empty table gives no rows.
     """
-    tasks = partitions_for(pieces.count(), per_task)
-    batches_per_task = partitions_for(per_task, SORTED_TOGETHER)
+    count = pieces.count()
+    tasks = partitions_for(count, per_task)
+    batches_per_task = partitions_for(-(-count // tasks), SORTED_TOGETHER)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins, task = OpenBins(sequence, open_bins), None
