@@ -18,7 +18,7 @@ KEPT = 48  # values of a sketch
 LONG_LIST = 64  # members from which on a list is compared through leaders
 PLAIN_VALUES = 24  # a sketch with fewer values in short lists also needs the long ones
 LEADER_ROUNDS = 3
-BLOCK = 1_000
+BLOCK = 200_000  # hashes that are compared with as many others at once
 BITMAP_BITS = 1 << 23
 _SIGN = np.uint64(1 << 63)
 
@@ -135,6 +135,18 @@ class _Finder:
         marked = self.texts.withColumn("bit", F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_BITS)))
         return marked.mapInArrow(keep, "doc_id long, text string").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
 
+    def whole_sets(self, ids: DataFrame) -> DataFrame:
+        """(rep, shingles): the whole shingle sets, as hashes, of the representatives in `ids` (rep)."""
+        width = self.width
+
+        def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row, rows, hashes, before in shingle_sets(batch.column("text"), width):
+                    values = pa.ListArray.from_arrays(before.astype(np.int32), hashes.view(np.int64))
+                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(row, rows), values], ["rep", "shingles"])
+
+        return self.wanted(ids.select(F.col("rep").alias("doc_id"))).mapInArrow(sets, "rep long, shingles array<long>")
+
     def add(self, pairs: DataFrame, label: str) -> bool:
         """Check pairs and join the components of those that link. False if there was nothing to check."""
         candidates = stored(self.estimated(pairs), label)
@@ -168,7 +180,7 @@ def near_duplicates(
     members: each class is compared with the leader, a list's smallest member, that it meets most often, and then
     members that are not connected yet with each other. For longer lists that would be quadratic: only sketches with
     too few values in short lists to be found there need them. They too are compared with leaders, those that did not
-    join the leader's component with further ones, and what is then left in blocks of similar set size. Every candidate passes the union-sketch estimate and is confirmed on its
+    join the leader's component with further ones, and what is then left on whole sets, in blocks of similar size. Every candidate passes the union-sketch estimate and is confirmed on its
     whole sets. Whether to go on is asked of the data; no list is cut.
 
     Null and empty texts have an empty set and no links. Rows that repeat an id are taken to repeat its text.
@@ -230,39 +242,46 @@ def _apart(heavy: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _blocked(left: DataFrame, right: DataFrame, finder: _Finder) -> DataFrame:
-    """Pairs of `left` and `right` in different components that the union sketches let through.
+    """Pairs of `left` and `right` (rep), the first part of the second, in different components, whose whole sets are linked.
 
     Set sizes fall into classes by powers of the size ratio that a link allows, so a link joins equal or adjacent
-    classes. Rows of a class are packed into blocks; a task compares one block with another.
+    classes. Rows of a class are packed into blocks of about `BLOCK` hashes; a task compares one block with another
+    by counting common hashes and passes on links only.
     """
-    ratio, kept, percent = finder.percent / 100, finder.kept, finder.percent
-    sized = F.floor(F.log(F.col("n").cast("double")) / -float(np.log(ratio)) + 1e-9).cast("long")
+    ratio, percent = finder.percent / 100, finder.percent
+    size_class = F.floor(F.log(F.col("n").cast("double")) / -float(np.log(ratio)) + 1e-9).cast("long")
+    sets = stored(finder.whole_sets(right), "sets").withColumn("n", F.size("shingles"))
 
-    def packed(ids: DataFrame, side: str) -> DataFrame:
-        blocks = max(1, -(-ids.count() // BLOCK))
-        rows = ids.join(finder.reps, "rep").join(finder.labels, "rep").withColumn("size", sized)
+    def packed(rows: DataFrame, side: str) -> DataFrame:
+        blocks = max(1, (rows.agg(F.sum("n")).first()[0] or 0) // BLOCK)
+        rows = rows.join(finder.labels, "rep").withColumn("size", size_class)
         rows = rows.withColumn("block", F.pmod(F.xxhash64("rep"), F.lit(blocks)))
-        return rows.groupBy("size", "block").agg(F.collect_list(F.struct("rep", "n", "c", "sketch")).alias(side)).drop("block")
+        return rows.groupBy("size", "block").agg(F.collect_list(F.struct("rep", "c", "shingles")).alias(side)).drop("block")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for one, other in zip(batch.column("one").to_pylist(), batch.column("other").to_pylist()):
-                owners = np.repeat(np.arange(len(other)), [len(x["sketch"]) for x in other])
-                values = np.concatenate([x["sketch"] for x in other])
-                order = np.argsort(values, kind="stable")
-                owners, values = owners[order], values[order]
-                for row in one:
-                    mine = np.array(row["sketch"])
-                    low, high = np.searchsorted(values, mine, "left"), np.searchsorted(values, mine, "right")
-                    hits = owners[np.concatenate([np.arange(a, b) for a, b in zip(low, high)])]
-                    common = np.bincount(hits, minlength=len(other))
-                    near = [other[i] for i in np.flatnonzero(common >= len(mine) * ratio / 4) if other[i]["c"] != row["c"]]
-                    if near:
-                        sizes = np.array([x["n"] for x in near])
-                        good = likely([mine] * len(near), [np.array(x["sketch"]) for x in near], np.full(len(near), row["n"]), sizes, kept, percent)
-                        found = [x["rep"] for x, ok in zip(near, good) if ok]
-                        yield pa.RecordBatch.from_pydict({"a": pa.array([row["rep"]] * len(found), pa.int64()), "b": pa.array(found, pa.int64())})
+            for one, other in zip(batch.column("one"), batch.column("other")):
+                sides = []
+                for side in (one, other):
+                    rows = side.values
+                    lists = rows.field("shingles")
+                    sides.append((*(rows.field(name).to_numpy() for name in ("rep", "c")), np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy()))
+                (ids, parts, sizes, values), (other_ids, other_parts, other_sizes, other_values) = sides
+                owners = np.repeat(np.arange(len(other_ids)), other_sizes)
+                order = np.argsort(other_values, kind="stable")
+                owners, other_values = owners[order], other_values[order]
+                low, high = np.searchsorted(other_values, values, "left"), np.searchsorted(other_values, values, "right")
+                edges = np.concatenate([[0], np.cumsum(sizes)])
+                for k in range(len(ids)):
+                    begin, count = low[edges[k] : edges[k + 1]], (high - low)[edges[k] : edges[k + 1]]
+                    spots = np.repeat(begin - np.cumsum(count) + count, count) + np.arange(count.sum())
+                    both = np.bincount(owners[spots], minlength=len(other_ids))
+                    linked = (100 * both >= percent * (sizes[k] + other_sizes - both)) & (other_parts != parts[k])
+                    if linked.any():
+                        found = other_ids[linked]
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), ids[k])), pa.array(found)], ["a", "b"])
 
     near_sizes = F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)).alias("size")
-    pairs = packed(left, "one").select("one", near_sizes).join(packed(right, "other"), "size").mapInArrow(compare, "a long, b long")
+    asked = packed(sets.join(left, "rep", "left_semi"), "one").select("one", near_sizes)
+    pairs = asked.join(packed(sets, "other"), "size").mapInArrow(compare, "a long, b long")
     return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()

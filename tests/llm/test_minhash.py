@@ -70,7 +70,7 @@ def test_long_lists_and_blocks_lose_no_link(documents, prose, monkeypatch):
     rows = corpus(prose, random.Random(2))
     monkeypatch.setattr(minhash, "LONG_LIST", 4)
     monkeypatch.setattr(minhash, "LEADER_ROUNDS", 0)
-    monkeypatch.setattr(minhash, "BLOCK", 50)
+    monkeypatch.setattr(minhash, "BLOCK", 2_000)
     assert result(near_duplicates(documents(rows))) == expected(rows)
 
 
