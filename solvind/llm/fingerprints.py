@@ -8,51 +8,42 @@ from pyspark.sql import Window as W
 
 from solvind.llm.common import SPACES, ascii_lower, stored
 
-BINS = 64
+PLACES = 64
 ROWS_PER_RANGE = 500_000
-
-
-def _uniform(bits: Column) -> Column:
-    """32 bits of a hash as a number above 0 and below 1."""
-    return (bits.bitwiseAND(F.lit(0xFFFFFFFF)) + 0.5) / float(1 << 32)
+_NONE = (1 << 63) - 1  # above all ranks: a place of a text without words
 
 
 def _samples(terms: DataFrame, keys: list[str]) -> DataFrame:
-    """`keys`, bin, code: of each bin's terms the one that consistent weighted sampling picks.
+    """`keys`, codes, edited: the samples of both sides at every place, from rows (keys, term, weight_0, weight_1).
 
-    For a term of weight s: r and c are Gamma(2, 1) and b uniform, all functions of the term; t = floor(ln s / r + b),
-    ln y = r (t - b), ln a = ln c - ln y - r; the smallest a wins and (term, t) is the sample. Two texts have the
-    same sample in a bin with the probability of the generalised Jaccard similarity of their weights there. A term
-    has one bin, so each term is drawn for once and not once for every place of the signature.
+    Consistent weighted sampling of whole weights: a term of weight s stands for the units (term, 1) to (term, s), and
+    each place of the signature ranks all units by a hash of its own and takes the least. Every unit is as likely to be
+    it, so two texts have the same sample at a place with the probability of the generalised Jaccard similarity: the
+    sum of the smaller weights over the sum of the larger ones. The first s units of a term are the same in all texts,
+    so a change of weight touches only the units it adds or takes. Both sides share the ranks.
     """
-    term = F.col("term")
-    first, second, third = (F.xxhash64(term, F.lit(k)) for k in (1, 2, 3))
-    drawn = terms.select(
-        *keys, "term", "weight",
-        (-F.log(_uniform(first)) - F.log(_uniform(F.shiftrightunsigned(first, 32)))).alias("r"),
-        F.log(-F.log(_uniform(second)) - F.log(_uniform(F.shiftrightunsigned(second, 32)))).alias("ln_c"),
-        _uniform(third).alias("b"),
-    )
-    level = drawn.withColumn("t", F.floor(F.log(F.col("weight").cast("double")) / F.col("r") + F.col("b")))
-    ln_a = F.col("ln_c") - F.col("r") * (F.col("t") - F.col("b")) - F.col("r")
-    # One long holds ln a (from -1024 to 1024 in steps of 2^-35) above 16 bits of the sample's hash, so that a plain minimum picks.
-    rank = F.floor((F.greatest(F.least(ln_a, F.lit(1023.0)), F.lit(-1024.0)) + 1024.0) * float(1 << 35))
-    packed = F.shiftleft(rank, 16).bitwiseOR(F.xxhash64("term", "t").bitwiseAND(F.lit(0xFFFF)))
-    bin_of = F.pmod(F.shiftrightunsigned(term, 7), F.lit(BINS)).cast("int")
-    picked = level.groupBy(*keys, bin_of.alias("bin")).agg(F.min(packed).alias("least"))
-    code = F.shiftleft("bin", 16).bitwiseOR(F.col("least").bitwiseAND(F.lit(0xFFFF)).cast("int"))
-    return picked.select(*keys, code.alias("code"))
+    units = terms.select(*keys, "term", "weight_0", "weight_1", F.explode(F.expr("sequence(1L, greatest(weight_0, weight_1, 1L))")).alias("unit"))
+    absent = lambda side: F.when(F.col("unit") <= F.col(f"weight_{side}"), F.lit(0)).otherwise(F.lit(_NONE)).cast("long")
+    units = units.select(*keys, F.xxhash64("term", "unit").alias("unit"), absent(0).alias("absent_0"), absent(1).alias("absent_1"))
+    rank = lambda place: F.shiftrightunsigned(F.xxhash64("unit", F.lit(place)), 1)
+    least = [F.min(rank(place).bitwiseOR(F.col(f"absent_{side}"))).alias(f"least_{side}_{place}") for side in (0, 1) for place in range(PLACES)]
+    picked = units.groupBy(*keys).agg(*least)
+
+    def codes(side: int) -> Column:
+        found = [F.lit(place << 16).bitwiseOR(F.col(f"least_{side}_{place}").bitwiseAND(F.lit(0xFFFF)).cast("int")) for place in range(PLACES)]
+        return F.when(F.col(f"least_{side}_0") == _NONE, F.array().cast("array<int>")).otherwise(F.array(*found))
+
+    return picked.select(*keys, codes(0).alias("codes"), codes(1).alias("edited"))
 
 
 def likeness(left: Column, right: Column) -> Column:
-    """Share of the bins, of those that either has filled, with the same sample; 1 for two empty fingerprints."""
-    bins = lambda codes: F.transform(codes, lambda code: F.shiftright(code, 16))
-    either = F.size(left) + F.size(right) - F.size(F.array_intersect(bins(left), bins(right)))
+    """Share of the places with the same sample; 1 for two empty fingerprints, 0 if one is empty."""
+    either = F.greatest(F.size(left), F.size(right))
     return F.when(either == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(left, right)) / either)
 
 
 def fingerprint_text(codes: Column) -> Column:
-    """Six hexadecimal digits per filled bin: its number and its sample."""
+    """Six hexadecimal digits per place: its number and its sample; none for a text without words."""
     return F.array_join(F.transform(codes, lambda code: F.lpad(F.hex(code.cast("long")), 6, "0")), "")
 
 
@@ -103,10 +94,9 @@ def fingerprint_edits(docs: DataFrame, id_column: str = "doc_id", text_column: s
     words = hashed.select(*facts, "s.side", F.explode(F.split(ascii_lower(F.col("s.body")), SPACES)).alias("word"))
     # A text's first word is empty when it begins with a space or has no words: kept as a term of no weight.
     term = F.when(F.col("word") == "", F.lit(None).cast("long")).otherwise(F.xxhash64("word"))
-    weighed = words.groupBy(*facts, "side", term.alias("term")).agg(F.count(F.lit(1)).alias("weight"))
-    codes = _samples(weighed, [*facts, "side"])
-    code = lambda side: F.sort_array(F.collect_list(F.when(F.col("side") == side, F.col("code"))))
-    prints = stored(codes.groupBy(*facts).agg(code(0).alias("codes"), code(1).alias("edited")), "prints")
+    weight = lambda side: F.sum(((F.col("side") == side) & (F.col("word") != "")).cast("long")).alias(f"weight_{side}")
+    weighed = words.groupBy(*facts, term.alias("term")).agg(weight(0), weight(1))
+    prints = stored(_samples(weighed, facts), "prints")
 
     following = prints.select(F.col("prev_id").alias("doc_id"), F.col("codes").alias("next"))
     return prints.join(following, "doc_id").select(

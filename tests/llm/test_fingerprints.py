@@ -38,6 +38,22 @@ def test_likeness_is_the_generalised_jaccard_similarity(documents, prose):
     assert all(row.n_chars == len(texts[row.doc_id]) and row.edited_sha256 == sha256(wanted[row.doc_id][0].encode()).hexdigest() for row in found)
 
 
+def test_repeated_words_and_few_words_row_by_row(documents, prose):
+    source = random.Random(4)
+    texts = {}
+    for k in range(60):
+        some = [prose(1, source) for _ in range(8)]
+        lines = [prose(9, source) for _ in range(4)]
+        texts[3 * k] = " ".join(f"{word} " * 308 for word in some)
+        texts[3 * k + 1] = "\n".join(source.choice(lines) for _ in range(150)) + " " + prose(100, source)
+        texts[3 * k + 2] = prose(source.randint(4, 12), source)
+    wanted = edits(texts)
+    for row in fingerprint_edits(documents([*texts.items()])).collect():
+        assert abs(row.near_edited - jaccard(texts[row.doc_id], wanted[row.doc_id][0])) < 0.25  # four standard deviations of 64 samples
+        assert abs(row.near_next - jaccard(texts[row.doc_id], wanted[row.doc_id][1])) < 0.25
+        assert len(row.fingerprint) == len(row.edited_fingerprint) == 64 * 6
+
+
 def test_odd_rows(documents, odd_rows):
     rows = [row for row in odd_rows if row[0] != 9]
     found = {row.doc_id: row for row in fingerprint_edits(documents(rows)).collect()}
