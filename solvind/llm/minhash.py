@@ -48,8 +48,8 @@ def sketches(docs: DataFrame, width: int, kept: int, id_column: str, text_column
     return texts.mapInArrow(sketch, "doc_id long, n long, sum long, mark long, sketch array<long>")
 
 
-def union_estimates(a: list, b: list, kept: int) -> tuple[np.ndarray, np.ndarray]:
-    """For rows of two sketches (values in both, values) among the smallest `kept` of their union."""
+def union_estimates(a: list, b: list, kept: int, whole: np.ndarray | bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """For rows of two sketches (values in both, values) among the smallest `kept` of their union, in `whole` rows among all."""
     pad = np.iinfo(np.int64).max
     table = np.full((len(a), 2 * kept), pad, np.int64)
     for side, column in enumerate((a, b)):
@@ -62,14 +62,16 @@ def union_estimates(a: list, b: list, kept: int) -> tuple[np.ndarray, np.ndarray
     again = np.zeros_like(real)
     again[:, 1:] = (table[:, 1:] == table[:, :-1]) & real[:, 1:]
     rank = np.cumsum(real & ~again, axis=1)
-    return (again & (rank <= kept)).sum(axis=1), np.minimum(rank[:, -1], kept)
+    limit = np.broadcast_to(np.where(whole, 2 * kept, kept), len(a))
+    return (again & (rank <= limit[:, None])).sum(axis=1), np.minimum(rank[:, -1], limit)
 
 
 def likely(a: list, b: list, n_a: np.ndarray, n_b: np.ndarray, kept: int, percent: int) -> np.ndarray:
-    """Pairs whose union sketch does not rule them out by five standard deviations; exact where both sets are whole."""
-    both, union = union_estimates(a, b, kept)
+    """Pairs whose union sketch does not rule them out by five standard deviations; exact, over the whole union, where both sketches hold whole sets."""
+    whole = (n_a <= kept) & (n_b <= kept)
+    both, union = union_estimates(a, b, kept, whole)
     share = percent / 100
-    slack = np.where((n_a <= kept) & (n_b <= kept), 1e-9, 5 * np.sqrt(share * (1 - share) * union))
+    slack = np.where(whole, 1e-9, 5 * np.sqrt(share * (1 - share) * union))
     return (both >= share * union - slack) & (100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b))
 
 
@@ -152,13 +154,16 @@ class _Finder:
         candidates = stored(self.estimated(pairs), label)
         if candidates.isEmpty():
             return False
-        links = stored(self.verified(candidates), "links")
+        self.join(stored(self.verified(candidates), "links"))
+        return True
+
+    def join(self, links: DataFrame) -> None:
+        """Join the components of pairs that are known to link."""
         ends = [self.labels.select(F.col("rep").alias(s), F.col("c").alias(f"c_{s}")) for s in "ab"]
         between = links.join(ends[0], "a").join(ends[1], "b").select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))
         parts = stored(components(between), "components")
         moved = self.labels.join(parts, F.col("c") == F.col("node"), "left")
         self.labels = stored(moved.select("rep", F.coalesce("component", "c").alias("c")), "labels")
-        return True
 
 
 def best_leaders(members: DataFrame) -> DataFrame:
@@ -180,8 +185,8 @@ def near_duplicates(
     members: each class is compared with the leader, a list's smallest member, that it meets most often, and then
     members that are not connected yet with each other. For longer lists that would be quadratic: only sketches with
     too few values in short lists to be found there need them. They too are compared with leaders, those that did not
-    join the leader's component with further ones, and what is then left on whole sets, in blocks of similar size. Every candidate passes the union-sketch estimate and is confirmed on its
-    whole sets. Whether to go on is asked of the data; no list is cut.
+    join the leader's component with further ones, and what is then left on whole sets, in blocks of similar size, which links by itself. Every
+    other candidate passes the union-sketch estimate and is confirmed on its whole sets. Whether to go on is asked of the data; no list is cut.
 
     Null and empty texts have an empty set and no links. Rows that repeat an id are taken to repeat its text.
     """
@@ -215,7 +220,7 @@ def near_duplicates(
         finder.add(best_leaders(_led(rest)), "leaders")
         rest = stored(_apart(_led(heavy), finder.labels), "apart")
     if not rest.isEmpty():
-        finder.add(_blocked(rest.select("rep").distinct(), heavy.select("rep").distinct(), finder), "blocks")
+        finder.join(stored(_blocked(rest.select("rep").distinct(), heavy.select("rep").distinct(), finder), "blocks"))
     labels = finder.labels
 
     ids = made.select("doc_id", "n", "sum", "mark").join(classes, ["n", "sum", "mark"], "left").join(labels, "rep", "left")

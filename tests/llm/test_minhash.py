@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 from solvind.llm import minhash
-from solvind.llm.minhash import near_duplicates, one_of_each, shingle_sets, union_estimates
+from solvind.llm.minhash import likely, near_duplicates, one_of_each, shingle_sets, union_estimates
 
 
 def shingles(text, width=5):
@@ -101,3 +101,20 @@ def test_union_estimates():
     a, b = np.array([1, 3, 5, 7]), np.array([1, 2, 5, 9])
     both, union = union_estimates([a, a, a[:0]], [b, a, b], 4)
     assert both.tolist() == [2, 4, 0] and union.tolist() == [4, 4, 4]
+
+
+def test_no_small_set_at_the_threshold_is_ruled_out():
+    source, kept = np.random.default_rng(6), 48
+    for n_a in range(40, 61):
+        for n_b in range(40, n_a + 1):
+            both = -(-75 * (n_a + n_b) // 175)  # the least overlap that links
+            if both > n_b:
+                continue
+            for overlap in (both, both - 1):
+                a, b = [], []
+                for _ in range(20):
+                    values = source.integers(-(1 << 62), 1 << 62, n_a + n_b - overlap)
+                    a.append(np.sort(values[:n_a])[:kept])
+                    b.append(np.sort(values[n_a - overlap :])[:kept])
+                found = likely(a, b, np.full(20, n_a), np.full(20, n_b), kept, 75)
+                assert found.all() if overlap == both else n_a > kept or not found.any()
