@@ -18,8 +18,10 @@ VOTING_SHARE = 0.5  # of a page's best score that a container needs to be voted
 
 # Element names by role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script style noscript template textarea title iframe svg math select option object canvas"
-DROPPED = frozenset("nav header footer aside form button dialog menu label fieldset figcaption audio video".split())
+RAW = "script style noscript template textarea title iframe svg select object canvas"
+TO_THE_END = frozenset("script style textarea title iframe".split())  # without an end tag these take the rest of the page
+FOREIGN = frozenset(("svg", "math"))  # may close themselves
+DROPPED = frozenset("nav header footer aside form button dialog menu label fieldset datalist option".split())
 BLOCKS = frozenset(
     "address article aside blockquote body br center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4"
     " h5 h6 head header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -34,9 +36,10 @@ NAMED = re.compile(
 )
 ROLES = frozenset("navigation banner contentinfo complementary search alert dialog menu menubar form".split())
 
-_RAW_ELEMENT = rf"<(?P<raw>{RAW.replace(' ', '|')})\b[^>]*+>(?s:.*?)(?:</(?P=raw)\s*+>|\Z)"
+_RAW_TAG = rf"<(?P<raw>{RAW.replace(' ', '|')})(?=[\s/>])[^>]*+>"
+_RAW_END = {name: re.compile(rf"</{name}\s*+>", re.I) for name in RAW.split()}
 TOKEN = re.compile(
-    rf"<!--(?s:.*?)(?:-->|\Z)|{_RAW_ELEMENT}|<[!?][^>]*+>?"
+    rf"<!--(?s:.*?)(?:-->|\Z)|{_RAW_TAG}|<[!?][^>]*+>?"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attributes>(?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<(?P<broken>/?[a-zA-Z][^>]*+)>",
     re.I,
 )
@@ -104,12 +107,21 @@ def parse(source: str) -> Page:
             linked += len(piece) * node.linked
 
     at = 0
-    for token in TOKEN.finditer(source):
+    unended: set[str] = set()  # elements that have no end tag from here on
+    while token := TOKEN.search(source, at):
         add(source[at : token.start()])
         at = token.end()
         name = token["name"]
         if token["raw"]:
-            if token["raw"].lower() != "svg":
+            raw = token["raw"].lower()
+            if not (raw in FOREIGN and token[0].endswith("/>")):
+                end = None if raw in unended else _RAW_END[raw].search(source, at)
+                if end:
+                    at = end.end()
+                else:
+                    unended.add(raw)
+                    at = len(source) if raw in TO_THE_END else at
+            if raw != "svg":
                 close_block()
             continue
         if not name:
@@ -126,6 +138,8 @@ def parse(source: str) -> Page:
             close_block()
         if name in VOID:
             continue
+        if token["attributes"].endswith("/") and (name in FOREIGN or any(page.nodes[k].name in FOREIGN for k in stack)):
+            continue
         if name in ENDS_PARAGRAPH:
             _close_implied(page, stack, name)
         attributes = _attributes(token["attributes"])
@@ -174,7 +188,7 @@ def votes(source: str) -> list[tuple[str, float]]:
 
 
 def main_text(source: str, paths: list[str]) -> str:
-    """Text of the containers at the first of `paths` that the page has with text; else of its own best container."""
+    """Text of the containers at the first of `paths` that the page has with text; else of all at its own best path."""
     page = parse(source)
     there = {number for holders, _ in page.blocks for number in holders}
     for path in paths:
@@ -182,8 +196,8 @@ def main_text(source: str, paths: list[str]) -> str:
         if chosen:
             break
     else:
-        best = page.best()
-        chosen = {next(number for number, node in enumerate(page.nodes) if node.score == best)} if best > 0 else there
+        own = max(page.nodes, key=lambda node: node.score).path
+        chosen = {number for number in there if page.nodes[number].path == own and page.nodes[number].name in CONTAINERS} if page.best() > 0 else there
     return " ".join(line for holders, line in page.blocks if not chosen.isdisjoint(holders))
 
 
@@ -218,7 +232,7 @@ def extract_pages(pages: DataFrame, id_column: str = "page_id", url_column: str
     """(page_id, url, text, n_chars) of every page: its main text by the paths that its host's pages agree on.
 
     Null html is empty and gives the empty text; a null url or one without a host belongs to the host "". Pages of
-    a host that has no votes use their own best container. Repeated rows vote as often as they occur. Only the
+    a host that has no votes, or none for a path they have, use all containers at their own best path. Repeated rows vote as often as they occur. Only the
     three columns are read.
     """
     read = pages.select(

@@ -63,3 +63,27 @@ def test_votes_and_hosts(spark):
     urls = ["HTTP://A.b:8/x", "//c.d/x", "e.f/x", None, "https://u:p@g.h?x", "https://[::1]/"]
     found = [row[0] for row in spark.createDataFrame([(u,) for u in urls], "u string").select(host(F.col("u"))).collect()]
     assert found[:5] == ["a.b", "c.d", "", "", "g.h"]
+
+
+def test_captions_formulas_and_media_stay():
+    source = "<article><p>Before.</p><figure><img src=x><figcaption>The caption.</figcaption></figure><p>Be <math><mi>a</mi><mspace class='ad'/><mo>=</mo><mn>2</mn></math> so.</p>"
+    source += "<audio controls><p>Spoken words.</p></audio><video><p>Moving pictures.</p></video></article>"
+    assert main_text(source, []) == "Before. The caption. Be a=2 so. Spoken words. Moving pictures."
+
+
+def test_elements_without_end_tag_do_not_take_the_article():
+    for opened in ('<svg class="icon" />', "<math/>", "<svg>", "<canvas>", "<datalist><option value=1><option value=2></datalist>", "<svg/><svg><text>no</text></svg>"):
+        assert main_text(f"<article><p>One {opened} two.</p><p>Three.</p></article>", []) == "One two. Three.", opened
+    assert main_text("<p>Kept.</p><script>var lost", []) == "Kept."
+
+
+def test_rare_layouts_of_a_large_host(spark):
+    """What a page's text is does not depend on how many other layouts its host has."""
+    on_workers(spark)
+    name = lambda k: "".join("abcdefghij"[int(d)] for d in str(k))
+    part = lambda k, i: f'<div class="{name(k)}"><p>Part {name(i)} of page {name(k)}, long enough to count.</p></div>'
+    rows = [(k, "http://h/x", f"<html><body>{''.join(f'<section id={name(k)}>{part(k, i)}</section>' for i in range(3))}</body></html>") for k in range(120)]
+    for some in (rows[:5], rows):
+        found = {row.page_id: row.text for row in extract_pages(spark.createDataFrame(some, "page_id long, url string, html string")).collect()}
+        for k, _, _ in some:
+            assert found[k] == " ".join(f"Part {name(i)} of page {name(k)}, long enough to count." for i in range(3))
