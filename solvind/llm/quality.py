@@ -57,15 +57,26 @@ def _dictionary(samples: list[bytes]) -> bytes:
         return b"".join(samples)[-DICTIONARY_BYTES:] or b"\n" * 8
 
 
+def taught_pieces(texts: DataFrame, per_label: int) -> DataFrame:
+    """(doc_id, y, place, text) of at most `per_label` pieces of each label, by hash from all pieces of whole texts."""
+    cut = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{TAUGHT_CHARS}}}"), F.lit(0))
+    pieces = texts.select("doc_id", "y", F.posexplode(cut).alias("place", "text"))
+    order = [F.xxhash64("doc_id", "place"), "doc_id", "place", "text"]
+    parts = [pieces.where(F.col("y") == y).orderBy(*order).limit(per_label) for y in (0, 1)]
+    return parts[0].unionByName(parts[1])
+
+
 def train(docs: DataFrame, labels: DataFrame, sampled: int = SAMPLED, id_column: str = "doc_id", text_column: str = "text") -> CompressionClassifier:
     """Learn from `labels` (doc_id, quality), of which `sampled` rows of each label at most are read.
 
-    Two fifths of the sample, cut to `TAUGHT_CHARS`, make the dictionaries on the driver. The others, whole, are
+    Two fifths of the sample, cut into pieces of `TAUGHT_CHARS` over their whole length, of which as many of each label
+    are drawn as two fifths of `sampled`, make the dictionaries on the driver. The others, whole, are
     compressed in Spark's tasks and calibrate the score; only their sizes come back.
     """
     sample = labelled_sample(docs, labels, "quality", sampled, id_column, text_column)
     teaches = F.pmod(F.xxhash64("doc_id", F.lit("teach")), F.lit(5)) < 2
-    taught = sample.where(teaches).select("doc_id", "y", F.encode(F.expr(f"left(text, {TAUGHT_CHARS})"), "UTF-8").alias("text")).orderBy("doc_id", "text").collect()
+    pieces = taught_pieces(sample.where(teaches), max(1, 2 * sampled // 5))
+    taught = pieces.select("doc_id", "y", "place", F.encode("text", "UTF-8").alias("text")).orderBy("doc_id", "place", "text").collect()
     good, bad = ([bytes(row.text) for row in taught if row.y == y and row.text] for y in (1, 0))
     model = CompressionClassifier(_dictionary(good), _dictionary(bad), len(good) / max(1, len(good) + len(bad)))
     if not good or not bad:

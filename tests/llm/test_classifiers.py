@@ -86,3 +86,14 @@ def test_odd_rows(spark, documents, odd_rows, labels):
             by_id = {}
             for row in found:
                 assert by_id.setdefault(row.doc_id, row.score) == row.score or row.doc_id == 9
+
+
+def test_all_parts_of_long_texts_can_teach(spark, documents, prose):
+    """What only stands behind the first 8,000 characters of labelled texts is in the dictionaries."""
+    rows = [(k, prose(1800) + (" splendid reasoning" if k % 2 else " qqzzxx vvkkjj") * 400) for k in range(60)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, quality int")
+    model = quality.train(documents(rows), labels)
+    assert all(len(text[:8000]) == 8000 and "splendid" not in text[:8000] for _, text in rows)
+    assert b"splendid" in model.good and b"qqzzxx" in model.bad
+    pieces = quality.taught_pieces(documents(rows).selectExpr("doc_id", "0 as y", "text"), 20).collect()
+    assert len(pieces) == 20 and {row.place for row in pieces} >= {0, 1}
