@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from solvind.llm import extraction, fingerprints, minhash, mixing, neighbours, packing, quality, scoring, sharding, toxicity
+from solvind.llm import extraction, fingerprints, language, minhash, mixing, neighbours, packing, prefixes, quality, ranking, scoring, sharding, toxicity
 from solvind.llm.common import id_remainder, table
 
 PACKING_TOKENIZER = "word_bpe_49k.json"
@@ -81,6 +81,21 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_remainder("doc_id", 4) == 2
+    found = language.score(docs, language.train(docs.where(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def on_workers(spark: SparkSession) -> None:
     """Python workers that were started elsewhere than in the repository's folder find the package too."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
@@ -97,7 +112,10 @@ def _with_path(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 QUERIES = {
     run.__name__: _with_path(run)
-    for run in (op1_sharding, op2_toxicity, op3_html_extraction, op4_embedding_dedup, op5_best_fit_packing, op6_lm_scoring, op7_quality, op8_mixing, op9_minhash_dedup, op10_fingerprints)
-}
+    for run in (
+        op1_sharding, op2_toxicity, op3_html_extraction, op4_embedding_dedup, op5_best_fit_packing, op6_lm_scoring, op7_quality, op8_mixing,
+        op9_minhash_dedup, op10_fingerprints, op11_prefix_trie, op12_language_id, op13_ranked_search,
+    )
+}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op11_prefix_trie": prefixes.SQL, "op13_ranked_search": ranking.SQL}
