@@ -83,9 +83,11 @@ def grams(points: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray,
             return
         value = _mix((value[:n] ^ points[size - 1 :].astype(_U)) * _U(0x9E3779B97F4A7C15) + _U(size))
         if size in SIZES:
-            # A mark may stand at the ends only, and never alone.
+            # A mark may stand at the ends only, and not alone.
             inner = breaks[size - 2 : size - 2 + n] - breaks[:n] if size > 2 else np.zeros(n, np.int64)
-            whole = (inner == 0) & (text[:n] == text[size - 1 :]) & ((points[:n] > 0) | (points[size - 1 :] > 0))
+            whole = (inner == 0) & (text[:n] == text[size - 1 :])
+            if size < 3:
+                whole &= (points[:n] > 0) | (points[size - 1 :] > 0)
             yield value[whole], text[:n][whole]
 
 
