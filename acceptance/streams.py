@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from acceptance.base import case, messages, over_weather, weather
 from acceptance.rows import READABLE
+from solvind.operators import compaction
 from solvind.operators.messages import flatten_messages, parse_messages, split_malformed
 from solvind.plans import jobs
 from solvind.schemas import HISTORY_TABLE
@@ -160,3 +161,31 @@ def stream_late_first_delivery(spark, sf_dir):
         _drain(ingest.landing_rows(message_source(spark, "files", path=topic_dir), _arrival()), path, checkpoint)
     jobs.consolidate(jobs.landing_as_history(spark, path, "stream"), history)
     return read_table(spark, history, HISTORY_TABLE).select("dt", "lat", "lon")
+
+
+BATCHES = 60
+
+
+def _many_batches(spark, sf_dir, path: str, checkpoint: str, parts: int = BATCHES) -> None:
+    """The messages as one file for each of many micro-batches, in the order of their time, drained one by one."""
+    topic_dir = fresh_path(spark, "topic")
+    messages(weather(spark, sf_dir).repartitionByRange(parts, "dt")).write.parquet(topic_dir)
+    source = message_source(spark, "files", path=topic_dir, maxFilesPerTrigger="1")
+    _drain(ingest.landing_rows(source, _arrival()), path, checkpoint)
+
+
+@case(over_weather(f"SELECT *, CAST(1 AS BIGINT) AS archivos FROM ({LANDED})"))
+def stream_compacted_landing(spark, sf_dir):
+    """Sixty micro-batches, compacted: the same rows from one file a topic and arrival day."""
+    path = fresh_path(spark, "landing")
+    _many_batches(spark, sf_dir, path, fresh_path(spark, "checkpoint"))
+    jobs.compact_landing(spark, path, grace=0)
+    keys = ["topic", "year", "month", "day"]
+    rows = compaction.read_landed(spark, path).withColumn("archivo", F.col("_metadata.file_path"))
+    return rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("filas"),
+        F.min("dt").alias("desde"),
+        F.max("dt").alias("hasta"),
+        F.sum("wind_deg").alias("grados"),
+        F.countDistinct("archivo").alias("archivos"),
+    )

@@ -50,6 +50,11 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--retention", help='forget files older than this, such as 30d')
     stream.add_argument("--max-offsets", help="messages per micro-batch")
 
+    compact = job.add_parser("compact", help="few files for the many small ones of a landing table")
+    compact.add_argument("--landing", required=True)
+    compact.add_argument("--target-mb", type=int, default=128)
+    compact.add_argument("--grace-hours", type=float, default=24, help="keep replaced files for readers that still use them")
+
     expire = job.add_parser("expire", help="drop old arrival days of a landing table or folder")
     what = expire.add_mutually_exclusive_group(required=True)
     what.add_argument("--table", help="catalog table")
@@ -74,13 +79,15 @@ def main(arguments: list[str] | None = None) -> None:
             quarantine=args.quarantine,
         )
     elif args.job == "gold":
-        report = jobs.build_gold(spark, args.silver, args.gold, args.quarantine)
+        report = jobs.build_gold(spark, args.silver, args.gold)
     elif args.job == "stream":
         limits = {"maxOffsetsPerTrigger": args.max_offsets} if args.max_offsets else {}
         jobs.run_stream(
             spark, args.servers, args.topics, args.landing, args.checkpoint, args.every, args.retention, args.quarantine, **limits
         ).awaitTermination()
         return
+    elif args.job == "compact":
+        report = jobs.compact_landing(spark, args.landing, args.target_mb << 20, 3600 * args.grace_hours)
     else:
         today = dt.datetime.now(dt.timezone.utc).date()
         if args.table:

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from solvind.functions.calendar import add_time_parts, is_plausible
 from solvind.operators.append import append_new
+from solvind.operators.compaction import GRACE_SECONDS, TARGET_BYTES, compact, read_landed
 from solvind.operators.dedup import dedup
 from solvind.operators.layout import stage, write_table
 from solvind.operators.messages import CORRUPT
@@ -20,7 +21,7 @@ from solvind.operators.quality import require_fields, require_rows
 from solvind.operators.retention import cutoff_day, drop_expired, expire_folders
 from solvind.plans.gold import write_gold
 from solvind.plans.refresh import only_touched, refresh_gold, touched_months, within_months
-from solvind.schemas import ENVELOPE, HISTORY_PARTITIONS, HISTORY_TABLE, LANDING_STREAM, SILVER
+from solvind.schemas import ENVELOPE, HISTORY_PARTITIONS, HISTORY_TABLE, SILVER
 from solvind.sources import message_source, read_json_history, read_landing, read_table
 from solvind.sources.tables import load_or_empty
 from solvind.streaming.ingest import landing_rows, quarantine_rows, start_ingest
@@ -48,8 +49,8 @@ def landing_as_history(
     if kind not in LANDING_KINDS:
         raise ValueError(f"unknown landing kind: {kind}")
     if kind == "stream":
-        # The sink's log may still list files that have expired.
-        landed = read_landing(spark, path, "parquet", LANDING_STREAM, ignoreMissingFiles="true")
+        # The sink's log may still list files that have expired, or that compaction has replaced.
+        landed = read_landed(spark, path)
         if since:
             landed = landed.filter(F.make_date("year", "month", "day") >= F.lit(since))
         rows = normalise(landed, city or city_from_topic(F.col("topic")), temp_unit)
@@ -198,6 +199,11 @@ def ingest_messages(
     return start_ingest(landing_rows(messages, ingested_at), path, checkpoint, every, retention=retention)
 
 
+def compact_landing(spark: SparkSession, path: str, target_bytes: int = TARGET_BYTES, grace: float = GRACE_SECONDS) -> dict[str, int]:
+    """Put the small files of the stream's landing table together; the stream may run meanwhile."""
+    return compact(spark, path, target_bytes=target_bytes, grace=grace)
+
+
 def expire_landing(spark: SparkSession, table: str, today: dt.date, days: int) -> int:
     """Drop partitions of a catalog table older than `days`; returns how many."""
     return drop_expired(spark, table, cutoff_day(today, days))
