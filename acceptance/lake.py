@@ -341,3 +341,55 @@ def gold_after_correction(spark, sf_dir):
     write_table(corrected, stored, layout)
     refresh.refresh_gold(read_table(spark, stored, rows.schema), root, refresh.touched_months(corrected))
     return round_doubles(read_table(spark, f"{root}/condiciones_criticas"))
+
+
+LATEST = f"""deliveries AS (
+  SELECT *, dt * 1000 + event_id % 7 AS emitted, 1 AS delivery FROM weather
+  UNION ALL SELECT * REPLACE (temp + 1 AS temp), dt * 1000 + event_id % 7 + {HOUR_MS} AS emitted, 2 AS delivery
+  FROM weather WHERE event_id % 10 = 3
+), latest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dt, lat, lon ORDER BY delivery DESC, {TIE_ORDER}) AS copy FROM deliveries)
+  WHERE copy = 1
+)"""
+
+
+def _two_deliveries(spark, sf_dir):
+    """All observations, then a tenth of them again with another temperature; the second delivery comes twice."""
+    rows = weather(spark, sf_dir, two_years=True)
+    fixed = rows.filter(F.col("event_id") % 10 == 3).withColumn("temp", F.col("temp") + 1)
+    second = _history_rows(spark, envelopes(fixed, HOUR_MS))
+    return _history_rows(spark, envelopes(rows)), second, second
+
+
+@case(
+    with_more(
+        LATEST,
+        "SELECT dt, city, lat, lon, temp, pressure, humidity, clouds, wind_speed, wind_deg, year, month, delivery FROM latest",
+        two_years=True,
+    )
+)
+def history_late_correction(spark, sf_dir):
+    """History after corrections of a later delivery, and a repeat that changes nothing."""
+    history = fresh_path(spark, "history")
+    reports = [jobs.consolidate(delivered, history, corrections=True) for delivered in _two_deliveries(spark, sf_dir)]
+    assert reports[1]["corrected"] > 0 and reports[2]["corrected"] == reports[2]["rows"] == 0
+    names = ["dt", "city", "lat", "lon", "temp", "pressure", "humidity", "clouds", "wind_speed", "wind_deg", "year", "month"]
+    later = F.unix_millis("ingestion_timestamp") - F.col("dt") * 1000 >= HOUR_MS
+    return read_table(spark, history, HISTORY_TABLE).select(*names, F.when(later, 2).otherwise(1).alias("delivery"))
+
+
+@case(
+    with_more(
+        LATEST,
+        f"""SELECT city, year, month, {r("avg(temp)")} AS temperatura_promedio, count(*) AS total_mediciones FROM latest
+        GROUP BY city, year, month""",
+        two_years=True,
+    )
+)
+def gold_late_correction(spark, sf_dir):
+    """The same corrections in the monthly comparison, by way of Silver."""
+    history, path, root = (fresh_path(spark, name) for name in ("history", "silver", "gold"))
+    for delivered in _two_deliveries(spark, sf_dir)[:2]:
+        jobs.update_from_landing(spark, delivered, history, path, root, corrections=True)
+    found = read_table(spark, f"{root}/analisis_comparativo")
+    return round_doubles(found.select("city", "year", "month", "temperatura_promedio", "total_mediciones"))

@@ -19,6 +19,7 @@ def _parser() -> argparse.ArgumentParser:
     landing.add_argument("--landing", required=True, help="landing folder")
     landing.add_argument("--kind", choices=jobs.LANDING_KINDS, default="stream")
     landing.add_argument("--since", type=dt.date.fromisoformat, help="skip data that arrived before this day")
+    landing.add_argument("--corrections", action="store_true", help="later deliveries replace stored observations that differ")
     landing.add_argument("--history", required=True, help="consolidated history table")
     aside = argparse.ArgumentParser(add_help=False)
     aside.add_argument("--quarantine", help="table for what cannot be read or cannot be true")
@@ -69,9 +70,9 @@ def main(arguments: list[str] | None = None) -> None:
     if args.job in ("consolidate", "update"):
         rows = jobs.landing_as_history(spark, args.landing, args.kind, temp_unit=args.temp_unit, since=args.since)
         if args.job == "consolidate":
-            report = jobs.consolidate(rows, args.history, args.quarantine)
+            report = jobs.consolidate(rows, args.history, args.quarantine, args.corrections)
         else:
-            report = jobs.update_from_landing(spark, rows, args.history, args.silver, args.gold, args.quarantine)
+            report = jobs.update_from_landing(spark, rows, args.history, args.silver, args.gold, args.quarantine, args.corrections)
     elif args.job == "silver":
         documents = [(path, city) for city, path in (pair.split("=", 1) for pair in args.documents)]
         report = jobs.build_silver(

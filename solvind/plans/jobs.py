@@ -14,6 +14,7 @@ from solvind.operators.append import append_new
 from solvind.operators.compaction import GRACE_SECONDS, TARGET_BYTES, compact, read_landed
 from solvind.operators.dedup import dedup
 from solvind.operators.layout import stage, write_table
+from solvind.operators.merge import merge_latest
 from solvind.operators.messages import CORRUPT
 from solvind.operators.normalise import city_from_topic, normalise, union_sources, unwrap_envelope
 from solvind.operators.pruning import value_counts
@@ -81,15 +82,20 @@ def _unique_batch(deliveries: DataFrame, quarantine: str | None) -> tuple[DataFr
     return unique_rows.filter(possible), counts
 
 
-def consolidate(deliveries: DataFrame, history_path: str, quarantine: str | None = None) -> dict[str, int]:
+def _to_history(batch: DataFrame, history_path: str, corrections: bool) -> dict[str, int]:
+    return merge_latest(batch, history_path) if corrections else append_new(batch, history_path, partition_by=HISTORY_PARTITIONS)
+
+
+def consolidate(deliveries: DataFrame, history_path: str, quarantine: str | None = None, corrections: bool = False) -> dict[str, int]:
     """Move landing rows to history: latest delivery per observation, only observations history lacks.
 
-    Returns rows read, unique observations among them, and rows written, all counted by the run itself, and
+    With `corrections`, a later delivery that differs from the stored observation replaces it, and the report has how many
+    were `corrected`. Returns rows read, unique observations among them, and rows written, all counted by the run itself, and
     `implausible` when there were any.
     """
     with staging(deliveries.sparkSession):
         batch, counts = _unique_batch(deliveries, quarantine)
-        return {**counts, **append_new(batch, history_path, partition_by=HISTORY_PARTITIONS)}
+        return {**counts, **_to_history(batch, history_path, corrections)}
 
 
 def _with_layout(silver: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -146,15 +152,16 @@ def update_from_landing(
     silver_path: str,
     gold_root: str,
     quarantine: str | None = None,
+    corrections: bool = False,
 ) -> dict[str, int]:
     """Landing -> history -> Silver -> Gold for the site-months the deliveries touch.
 
-    Work follows the size of the touched site-months, not of the lake; the files of other sites and months stay.
+    With `corrections`, later deliveries replace stored observations all the way. Work follows the size of the touched site-months, not of the lake; the files of other sites and months stay.
     Silver is laid out by site and month and holds what history holds.
     """
     with staging(spark):
         batch, counts = _unique_batch(deliveries, quarantine)
-        counts |= append_new(batch, history_path, partition_by=HISTORY_PARTITIONS)
+        counts |= _to_history(batch, history_path, corrections)
         touched, _ = stage(touched_months(batch), "touched")
         months = value_counts(touched, ["year", "month"])
         recent = within_months(load_or_empty(spark, history_path, HISTORY_TABLE), months)

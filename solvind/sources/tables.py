@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from solvind.workspace import path_exists
+
 # Columns the reporting loader turns into numbers.
 NUMERIC_PARTS = ("year", "month", "day", "hour")
 
@@ -23,12 +24,9 @@ def load_or_empty(
     spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", **options: str
 ) -> DataFrame:
     """A folder that does not exist yet reads as an empty frame; every other error is raised."""
-    try:
-        return spark.read.schema(schema).format(fmt).options(**options).load(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).format(fmt).options(**options).load(path)
 
 
 def describe_table(spark: SparkSession, name: str) -> DataFrame:

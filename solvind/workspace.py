@@ -47,6 +47,12 @@ def delete_folders(spark: SparkSession, paths: list[str]) -> dict[str, int]:
     return gone
 
 
+def path_exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path, or any that matches a glob, is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path))
+
+
 def folders(spark: SparkSession, pattern: str) -> list[str]:
     """Folders that match a glob, listed by the file system that holds them."""
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
