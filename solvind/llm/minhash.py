@@ -100,25 +100,12 @@ class _Finder:
         return pairs.join(sides[0], "a").join(sides[1], "b").where(near).mapInArrow(estimate, "a long, b long")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose whole shingle sets, made again from the texts, have the similarity asked for."""
-        width, percent = self.width, self.percent
-
-        def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for at in range(0, batch.num_rows, 100):
-                    some = batch.slice(at, 100)
-                    sets = [
-                        [hashes[before[i] : before[i + 1]] for _, rows, hashes, before in shingle_sets(some.column(name), width) for i in range(rows)]
-                        for name in ("text_a", "text_b")
-                    ]
-                    both = np.array([len(np.intersect1d(a, b, assume_unique=True)) for a, b in zip(*sets)], np.int64)
-                    union = np.array([len(a) + len(b) for a, b in zip(*sets)], np.int64) - both
-                    yield some.select(["a", "b"]).filter(pa.array((100 * both >= percent * union) & (union > 0)))
-
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        texts = stored(self.wanted(ids), "texts")
-        sides = [texts.select(F.col("doc_id").alias(s), F.col("text").alias(f"text_{s}")) for s in "ab"]
-        return pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(verify, "a long, b long")
+        """Pairs whose whole shingle sets, made again from the texts, have the similarity asked for. Rows meet one by one in the JVM."""
+        sets = stored(self.whole_sets(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()), "sets")
+        sides = [sets.select(F.col("rep").alias(s), F.col("shingles").alias(f"set_{s}")) for s in "ab"]
+        both = F.size(F.array_intersect("set_a", "set_b"))
+        union = F.size("set_a") + F.size("set_b") - both
+        return pairs.join(sides[0], "a").join(sides[1], "b").where((100 * both >= self.percent * union) & (union > 0)).select("a", "b")
 
     def wanted(self, ids: DataFrame) -> DataFrame:
         """Texts of the given ids, one each. A bitmap of fixed size keeps nearly all other rows out of the shuffle."""
@@ -176,6 +163,18 @@ def best_leaders(members: DataFrame) -> DataFrame:
     return best.select(F.col("rep").alias("a"), (-F.col("best.less")).alias("b"))
 
 
+def next_leaders(heavy: DataFrame, labels: DataFrame, place: int) -> DataFrame:
+    """(a, b): every representative of `heavy` (rep, values) and the leader of its list of the `place`-th smallest value.
+
+    The leader is the smallest of the representatives that this list is the `place`-th of. One list for each
+    representative, so a round makes no more rows than there are representatives. Only pairs of different components.
+    """
+    at = heavy.where(F.size("values") > place).select("rep", F.col("values")[place].alias("value")).join(labels, "rep")
+    led = at.groupBy("value").agg(F.min(F.struct("rep", "c")).alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = at.join(led, (at.value == led.value) & (at.c != F.col("leader.c")))
+    return met.select(F.col("rep").alias("a"), F.col("leader.rep").alias("b"))
+
+
 def near_duplicates(
     docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, kept: int = KEPT, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -184,8 +183,8 @@ def near_duplicates(
     Equal sets are one class. Of each class the `kept` smallest shingle hashes are indexed. Lists of up to `LONG_LIST`
     members: each class is compared with the leader, a list's smallest member, that it meets most often, and then
     members that are not connected yet with each other. For longer lists that would be quadratic: only sketches with
-    too few values in short lists to be found there need them. They too are compared with leaders, those that did not
-    join the leader's component with further ones, and what is then left on whole sets, in blocks of similar size, which links by itself. Every
+    too few values in short lists to be found there need them. In a few rounds each is compared with the leader of one of
+    its lists, and what is left in another component than a list's on whole sets, in blocks of similar size. Every
     other candidate passes the union-sketch estimate and is confirmed on its whole sets. Whether to go on is asked of the data; no list is cut.
 
     Null and empty texts have an empty set and no links. Rows that repeat an id are taken to repeat its text.
@@ -209,18 +208,14 @@ def near_duplicates(
     pairs = sides[0].join(sides[1], "value").where((F.col("rep_a") < F.col("rep_b")) & (F.col("c_a") != F.col("c_b")) & close)
     finder.add(pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct(), "short")
 
-    long = shared.where(F.col("df") > LONG_LIST)
-    few = long.groupBy("rep").agg(F.count(F.lit(1)).alias("long"))
-    few = few.join(reps.select("rep", F.size("sketch").alias("size")), "rep").where(F.col("size") - F.col("long") < PLAIN_VALUES)
-    heavy = stored(long.join(few.select("rep"), "rep", "left_semi").select("value", "rep"), "heavy")
-    rest = heavy
-    for _ in range(LEADER_ROUNDS):
-        if rest.isEmpty():
-            break
-        finder.add(best_leaders(_led(rest)), "leaders")
-        rest = stored(_apart(_led(heavy), finder.labels), "apart")
+    long = shared.where(F.col("df") > LONG_LIST).groupBy("rep").agg(F.sort_array(F.collect_list("value")).alias("values"))
+    few = F.size("sketch") - F.size("values") < PLAIN_VALUES
+    heavy = stored(long.join(reps.select("rep", "sketch"), "rep").where(few).select("rep", "values"), "heavy")
+    for place in range(LEADER_ROUNDS):
+        finder.add(next_leaders(heavy, finder.labels, place), "leaders")
+    rest = stored(_apart(heavy, finder.labels), "apart")
     if not rest.isEmpty():
-        finder.join(stored(_blocked(rest.select("rep").distinct(), heavy.select("rep").distinct(), finder), "blocks"))
+        finder.join(stored(_blocked(rest, heavy.select("rep"), finder), "blocks"))
     labels = finder.labels
 
     ids = made.select("doc_id", "n", "sum", "mark").join(classes, ["n", "sum", "mark"], "left").join(labels, "rep", "left")
@@ -235,33 +230,30 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     return docs.join(gone, id_column, "left_anti")
 
 
-def _led(members: DataFrame) -> DataFrame:
-    """Members of lists (value, rep) with the smallest member of their list."""
-    return members.join(members.groupBy("value").agg(F.min("rep").alias("leader")), "value")
-
-
 def _apart(heavy: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of long lists that are in another component than the list's leader."""
-    of_leader = labels.select(F.col("rep").alias("leader"), F.col("c").alias("leads"))
-    return heavy.join(labels, "rep").join(of_leader, "leader").where("c <> leads").select("value", "rep")
+    """(rep): members of long lists that are in another component than the smallest component of one of their lists."""
+    members = heavy.join(labels, "rep").select("rep", "c", F.explode("values").alias("value"))
+    least = members.groupBy("value").agg(F.min("c").alias("least"), F.max("c").alias("most")).where("least <> most").withColumnRenamed("value", "split")
+    return members.join(least, (F.col("value") == F.col("split")) & (F.col("c") != F.col("least"))).select("rep").distinct()
 
 
 def _blocked(left: DataFrame, right: DataFrame, finder: _Finder) -> DataFrame:
     """Pairs of `left` and `right` (rep), the first part of the second, in different components, whose whole sets are linked.
 
     Set sizes fall into classes by powers of the size ratio that a link allows, so a link joins equal or adjacent
-    classes. Rows of a class are packed into blocks of about `BLOCK` hashes; a task compares one block with another
-    by counting common hashes and passes on links only.
+    classes. Rows of a class are packed into blocks of about `BLOCK` hashes; one block is compared with another
+    by counting common hashes, which passes on links only. Every pair of blocks has a key of its own.
     """
     ratio, percent = finder.percent / 100, finder.percent
     size_class = F.floor(F.log(F.col("n").cast("double")) / -float(np.log(ratio)) + 1e-9).cast("long")
     sets = stored(finder.whole_sets(right), "sets").withColumn("n", F.size("shingles"))
 
     def packed(rows: DataFrame, side: str) -> DataFrame:
-        blocks = max(1, (rows.agg(F.sum("n")).first()[0] or 0) // BLOCK)
-        rows = rows.join(finder.labels, "rep").withColumn("size", size_class)
-        rows = rows.withColumn("block", F.pmod(F.xxhash64("rep"), F.lit(blocks)))
-        return rows.groupBy("size", "block").agg(F.collect_list(F.struct("rep", "c", "shingles")).alias(side)).drop("block")
+        blocks = F.greatest(F.lit(1), F.floor(F.sum("n") / BLOCK)).cast("long")
+        sizes = rows.withColumn("size", size_class).groupBy("size").agg(blocks.alias("blocks"))
+        rows = rows.join(finder.labels, "rep").withColumn("size", size_class).join(sizes, "size")
+        rows = rows.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+        return rows.groupBy("size", "block", "blocks").agg(F.collect_list(F.struct("rep", "c", "shingles")).alias(side))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -286,7 +278,10 @@ def _blocked(left: DataFrame, right: DataFrame, finder: _Finder) -> DataFrame:
                         found = other_ids[linked]
                         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), ids[k])), pa.array(found)], ["a", "b"])
 
+    others = stored(packed(sets, "other"), "others")
+    counts = others.select("size", F.col("blocks").alias("of")).distinct()
     near_sizes = F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)).alias("size")
-    asked = packed(sets.join(left, "rep", "left_semi"), "one").select("one", near_sizes)
-    pairs = asked.join(packed(sets, "other"), "size").mapInArrow(compare, "a long, b long")
+    asked = packed(sets.join(left, "rep", "left_semi"), "one").select("one", near_sizes).join(counts, "size")
+    asked = asked.select("one", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("of") - 1)).alias("block"))
+    pairs = asked.join(others, ["size", "block"]).select("one", "other").mapInArrow(compare, "a long, b long")
     return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
