@@ -118,13 +118,11 @@ def score(docs: DataFrame, model: CompressionClassifier, id_column: str = "doc_i
 
 
 def without_bad(docs: DataFrame, model: CompressionClassifier, threshold: float = REJECTED_BELOW, text_column: str = "text") -> DataFrame:
-    """The rows of `docs`, all columns, whose score is at least `threshold`."""
+    """The rows of `docs`, all columns, whose score is at least `threshold`. Only texts leave the JVM."""
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                some = batch.slice(at, 1000)
-                sizes = model.sizes([(text or "").encode() for text in some.column(text_column).to_pylist()])
-                yield some.filter(pa.array(model.scores(sizes) >= threshold))
+    @F.arrow_udf("double")
+    def quality(texts: pa.Array) -> pa.Array:
+        parts = [model.sizes([(text or "").encode() for text in texts.slice(at, 500).to_pylist()]) for at in range(0, len(texts), 500)]
+        return pa.array(np.concatenate([model.scores(sizes) for sizes in parts]) if parts else np.zeros(0))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.where(quality(F.col(text_column)) >= threshold)
