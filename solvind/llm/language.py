@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from solvind.llm.common import stored
 from solvind.llm.textgrid import distinct
 
-SAMPLED = 1_500  # texts of each language at most that are learned from
+SAMPLED = 1_500  # texts of each language, or nearly, that are learned from
 GRAMS = 60_000  # n-grams of a language at most, those in most of its texts
 LEAST_SHARE = 0.02  # of a language's sampled texts that must hold an n-gram
 SIZES = (1, 2, 3, 4)
@@ -146,21 +146,19 @@ class LanguageFilters:
 def train(docs: DataFrame, sampled: int = SAMPLED, most_grams: int = GRAMS, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> LanguageFilters:
     """Filters of all languages of `docs`, whose rows may all be learned from; rows without a lang, id or text teach nothing.
 
-    Of each language the `sampled` texts of the smallest id hashes are read, in whole (a few more where ids repeat). The driver
-    gets a row for each language and the finished table, which `most_grams` and the number of languages bound.
+    Of each language about `sampled` texts are read, in whole: the share of all its texts that gives so many, by id hash.
+    The driver gets a row for each language and the finished table, which `most_grams` and the number of languages bound.
     """
     spark = docs.sparkSession
     rows = docs.select(F.xxhash64(id_column).alias("spot"), F.col(lang_column).alias("lang"), F.col(text_column).alias("text"), F.col(id_column).alias("id"))
     rows = rows.where("lang is not null and text is not null and id is not null").drop("id")
-    order = Window.partitionBy("lang").orderBy("spot")
-    lowest = rows.select("lang", "spot").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sampled)
-    limits = stored(lowest.groupBy("lang").agg(F.max("spot").alias("limit"), F.count(F.lit(1)).alias("texts")), "languages")
-    known = {row.lang: row.texts for row in limits.collect()}
-    languages = sorted(known)
+    size_of = {row.lang: row.n for row in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    languages = sorted(size_of)
     if not languages:
         return LanguageFilters([], np.zeros((1, 1), np.uint8), 0)
-    size_of = {row.lang: row.n for row in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     common = max(range(len(languages)), key=lambda k: (size_of[languages[k]], -k))
+    limits = [(lang, int(min(1.0, sampled / size_of[lang]) * (2**64 - 2**11)) - 2**63) for lang in languages]
+    limits = stored(spark.createDataFrame(limits, "of string, limit long"), "languages")
 
     def document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = {lang: k for k, lang in enumerate(languages)}
@@ -178,9 +176,9 @@ def train(docs: DataFrame, sampled: int = SAMPLED, most_grams: int = GRAMS, id_c
                     columns = [pa.array(np.full(len(n), lang, np.int32)), pa.array(values.view(np.int64)), pa.array(n)]
                     yield pa.RecordBatch.from_arrays(columns, ["lang", "gram", "n"])
 
-    sample = rows.join(limits.withColumnRenamed("lang", "of"), F.col("lang") == F.col("of")).where("spot <= limit").select("lang", "text")
+    sample = rows.join(limits, F.col("lang") == F.col("of")).where("spot <= limit").select("lang", "text")
     counted = sample.mapInArrow(document_counts, "lang int, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    least = spark.createDataFrame([(k, max(1.0, LEAST_SHARE * known[lang])) for k, lang in enumerate(languages)], "lang int, least double")
+    least = spark.createDataFrame([(k, max(1.0, LEAST_SHARE * min(sampled, size_of[lang]))) for k, lang in enumerate(languages)], "lang int, least double")
     common_first = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     kept = counted.join(F.broadcast(least), "lang").where("n >= least").withColumn("rank", F.row_number().over(common_first)).where(F.col("rank") <= most_grams)
     kept = stored(kept.select("lang", "gram"), "grams")
