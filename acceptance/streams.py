@@ -181,11 +181,11 @@ def stream_compacted_landing(spark, sf_dir):
     _many_batches(spark, sf_dir, path, fresh_path(spark, "checkpoint"))
     jobs.compact_landing(spark, path, grace=0)
     keys = ["topic", "year", "month", "day"]
-    rows = compaction.read_landed(spark, path).withColumn("archivo", F.col("_metadata.file_path"))
+    rows = compaction.read_landed(spark, path, with_file=True)
     return rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("filas"),
         F.min("dt").alias("desde"),
         F.max("dt").alias("hasta"),
         F.sum("wind_deg").alias("grados"),
-        F.countDistinct("archivo").alias("archivos"),
+        F.countDistinct("_file").alias("archivos"),
     )

@@ -138,12 +138,18 @@ def _read(spark: SparkSession, path: str, files: Sequence, schema: StructType) -
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def read_landed(spark: SparkSession, path: str, schema: StructType = LANDING_STREAM) -> DataFrame:
-    """The landing table, compacted or not, each row once. File names pass through the driver, as in every scan."""
+def read_landed(spark: SparkSession, path: str, schema: StructType = LANDING_STREAM, with_file: bool = False) -> DataFrame:
+    """The landing table, compacted or not, each row once; `with_file` adds the file that holds it as `_file`.
+
+    File names pass through the driver, as in every scan.
+    """
     at = snapshot(spark, path)
-    if not at.number:
-        return spark.read.schema(schema).option("ignoreMissingFiles", "true").parquet(path)
-    return _read(spark, path, table_files(spark, path, at).select("kind", "file").collect(), schema).drop("_file")
+    if at.number:
+        rows = _read(spark, path, table_files(spark, path, at).select("kind", "file").collect(), schema)
+    else:
+        rows = spark.read.schema(schema).option("ignoreMissingFiles", "true").parquet(path)
+        rows = rows.select(*schema.fieldNames(), _local_name(F.col("_metadata.file_path")).alias("_file"))
+    return rows if with_file else rows.drop("_file")
 
 
 def plan(files: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
