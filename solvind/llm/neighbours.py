@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -20,7 +20,10 @@ BLOCK = 512  # vectors that are compared with each other at once, at most
 HUB = 48  # members of a neighbourhood that are compared with each other at once
 ROUNDS = 5
 SETTLED = 0.01  # new neighbours per vector at which the rounds end
-AUDITED = 256
+AUDITED = 256  # vectors, four times as many until there are enough links
+MOST_AUDITED = 4096
+LEAST_LINKS = 200
+REACH = 0.05  # of a cosine below the threshold, from where on a vector is likely to have links
 RECALL = 0.98
 MORE_TREES = 3
 
@@ -227,40 +230,66 @@ def _counted(ids: np.ndarray, linked: np.ndarray, others: np.ndarray, weights: n
     return pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(least), pa.array(linked[some].astype(np.int64) @ weights)], ["v", "u", "links"])
 
 
-def audit_recall(units: DataFrame, links: DataFrame, full: DataFrame, threshold: float, audited: int = AUDITED) -> float:
-    """Share of the true links of `audited` vectors, found by comparing them with all rows, that the search has.
+def _space() -> Column:
+    """One number for the vectors that may link: equal label and length."""
+    return F.xxhash64("label", "dim")
 
-    Links between two full lists are counted by comparison anyway and do not enter.
+
+def audit(units: DataFrame, links: DataFrame, full: DataFrame, threshold: float, graph: DataFrame | None = None) -> dict[int, tuple[int, int]]:
+    """By space (true links, those that the search has) of audited vectors, found by comparing them with all rows.
+
+    Half of the vectors are any, half are such that have a neighbour of `graph` in reach of the threshold. More are taken
+    until `LEAST_LINKS` true links are seen or `MOST_AUDITED` vectors compared. Links between two full lists are counted
+    by comparison anyway and do not enter.
     """
-    queries = units.orderBy(F.xxhash64("rep", F.lit("audit"))).limit(audited).collect()
-    by_space: dict[tuple, list] = {}
-    for row in queries:
-        by_space.setdefault((row.label, row.dim), []).append((row.rep, row.unit))
+    near = units if graph is None else units.join(graph.where(F.col("cosine") >= threshold - REACH).select(F.col("v").alias("rep")).distinct(), "rep", "left_semi")
+    audited = AUDITED
+    while True:
+        found = _audited(units, near, links, full, threshold, audited)
+        if audited >= MOST_AUDITED or sum(total for total, _ in found.values()) >= LEAST_LINKS:
+            return found
+        audited *= 4
+
+
+def _audited(units: DataFrame, near: DataFrame, links: DataFrame, full: DataFrame, threshold: float, audited: int) -> dict[int, tuple[int, int]]:
+    order = F.xxhash64("rep", F.lit("audit"))
+    queries = {row.rep: row for frame in (units, near) for row in frame.withColumn("space", _space()).orderBy(order, "rep").limit(audited // 2).collect()}
+    by_space: dict[int, list] = {}
+    for row in queries.values():
+        by_space.setdefault(row.space, []).append((row.rep, row.unit))
 
     def true_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            labels, dims, ids = batch.column("label").to_pylist(), batch.column("dim").to_pylist(), batch.column("rep").to_numpy()
-            spaces: dict[tuple, list[int]] = {}
-            for place, space in enumerate(zip(labels, dims)):
-                spaces.setdefault(space, []).append(place)
-            for space, places in spaces.items():
+            space_of, ids = batch.column("space").to_numpy(), batch.column("rep").to_numpy()
+            for space in np.unique(space_of).tolist():
                 if space in by_space:
+                    places = np.flatnonzero(space_of == space)
                     asked = np.array([q for q, _ in by_space[space]])
                     x = _matrix(batch.column("unit").take(pa.array(places)))
                     cosine = np.array([u for _, u in by_space[space]]) @ x.T
                     q, p = np.nonzero((cosine >= threshold) & (asked[:, None] != ids[places][None, :]))
-                    yield _edges(asked[q], ids[places][p], cosine[q, p])
+                    space_column = pa.array(np.full(len(q), space))
+                    yield pa.RecordBatch.from_arrays([space_column, pa.array(asked[q]), pa.array(ids[places][p])], ["space", "v", "u"])
 
-    truth = units.mapInArrow(true_links, EDGE).select("v", "u")
-    filled = full.select("rep")
-    both = truth.join(filled.withColumnRenamed("rep", "v"), "v", "left_semi").join(filled.withColumnRenamed("rep", "u"), "u", "left_semi")
+    truth = units.select(_space().alias("space"), "rep", "unit").mapInArrow(true_links, "space long, v long, u long")
+    both = truth
+    for end in "vu":
+        both = both.join(full.select(F.col("rep").alias(end)), end, "left_semi")
     wanted = stored(truth.join(both, ["v", "u"], "left_anti"), "truth")
-    total = wanted.count()
-    return wanted.join(links, ["v", "u"], "left_semi").count() / total if total else 1.0
+    seen = wanted.join(links.select("v", "u").withColumn("has", F.lit(1)), ["v", "u"], "left")
+    sums = seen.groupBy("space").agg(F.count(F.lit(1)).alias("total"), F.count("has").alias("has")).collect()
+    return {row.space: (row.total, row.has) for row in sums}
+
+
+def audit_recall(units: DataFrame, links: DataFrame, full: DataFrame, threshold: float) -> float:
+    """Share of audited true links that the search has; 1.0 where no vector has a link."""
+    found = audit(units, links, full, threshold).values()
+    return sum(has for _, has in found) / max(1, sum(total for total, _ in found)) if found else 1.0
 
 
-def search(units: DataFrame, k: int = NEIGHBOURS, threshold: float = THRESHOLD, seed: int = 7) -> tuple[DataFrame, DataFrame]:
-    """(links, full): symmetric links (v, u) from the final lists, and the vectors (rep) whose list is full of links."""
+def search(units: DataFrame, k: int = NEIGHBOURS, threshold: float = THRESHOLD, seed: int = 7) -> tuple[DataFrame, DataFrame, list[int]]:
+    """(links, full, open): symmetric links (v, u) from the final lists, the vectors (rep) whose list is full of links,
+    and the spaces in which the audit still finds fewer than `RECALL` of the links after all rounds of trees."""
     rows = units.count()
     graph = None
     for attempt in range(MORE_TREES):
@@ -276,9 +305,11 @@ def search(units: DataFrame, k: int = NEIGHBOURS, threshold: float = THRESHOLD,
         good = graph.where(F.col("cosine") >= threshold)
         links = stored(good.select("v", "u").unionByName(good.select(F.col("u").alias("v"), F.col("v").alias("u"))).distinct(), "links")
         full = stored(good.groupBy("v").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k).select(F.col("v").alias("rep")), "full")
-        if audit_recall(units, links, full, threshold) >= RECALL:
-            break
-    return links, full
+        found = audit(units, links, full, threshold, graph)
+        below = [space for space, (total, has) in found.items() if has < RECALL * total]
+        if sum(has for _, has in found.values()) >= RECALL * sum(total for total, _ in found.values()):
+            return links, full, []
+    return links, full, below
 
 
 def near_vectors(
@@ -289,11 +320,14 @@ def near_vectors(
 
     Vectors of different length do not link, nor do null or zero vectors, those with null, infinite or NaN components,
     and vectors without a label; they stay alone. Equal vectors are one class and count as so many links. A list that
-    is full of links may have lost some: such vectors are compared with all others of their kind in blocks. Rows that
+    is full of links may have lost some: such vectors are compared with all others of their kind in blocks. So are all
+    vectors of a label whose audited recall stays below `RECALL`, which makes its links exact. Rows that
     repeat an id are vectors of their own, with the same component. An empty table gives no rows.
     """
     units = stored(unit_vectors(vectors, id_column, vector_column, label_column), "units")
-    links, full = search(units, k, threshold)
+    links, full, below = search(units, k, threshold)
+    whole = _space().isin(below) if below else F.lit(False)
+    full = stored(full.unionByName(units.where(whole).select("rep")).distinct(), "enlarged") if below else full
     filled = full.withColumn("filled", F.lit(True))
     ends = [filled.select(F.col("rep").alias(s), F.col("filled").alias(f"filled_{s}")) for s in "vu"]
     weights = units.select(F.col("rep").alias("u"), "weight")
@@ -301,7 +335,11 @@ def near_vectors(
     edges, counts = links.select(F.col("v").alias("a"), F.col("u").alias("b")), listed.groupBy("v").agg(F.sum("weight").alias("links"))
     if not full.isEmpty():
         parts = components(edges)
-        seen = units.join(full, "rep").join(parts, F.col("rep") == F.col("node")).select("rep", F.xxhash64("label", "dim").alias("space"), F.col("component").alias("c"), "weight", "unit")
+        signs = F.aggregate(F.slice("unit", 1, 30), F.lit(0).cast("long"), lambda bits, x: bits * 2 + (x > 0).cast("long"))
+        sizes = units.where(whole).groupBy("label", "dim").agg(F.count(F.lit(1)).alias("size"))
+        leaf = F.pmod(signs, F.pow(F.lit(2), F.ceil(F.log2(F.col("size") / BLOCK + 1))).cast("long"))
+        ends_of = units.join(full, "rep").join(parts, F.col("rep") == F.col("node"), "left").join(sizes, ["label", "dim"], "left")
+        seen = ends_of.select("rep", _space().alias("space"), F.when(F.col("size").isNotNull(), leaf).otherwise(F.col("component")).alias("c"), "weight", "unit")
         more = stored(full_links(stored(seen, "filled"), threshold), "block_links")
         edges = edges.unionByName(more.select(F.col("v").alias("a"), F.col("u").alias("b")))
         counts = counts.unionByName(more.groupBy("v").agg(F.sum("links").alias("links"))).groupBy("v").agg(F.sum("links").alias("links"))

@@ -2,6 +2,7 @@
 
 import numpy as np
 
+from solvind.llm import neighbours
 from solvind.llm.neighbours import audit_recall, near_vectors, search, stored, unit_vectors
 from solvind.llm.queries import on_workers
 
@@ -61,5 +62,20 @@ def test_odd_vectors(spark):
 
 def test_measured_recall(spark):
     units = stored(unit_vectors(frame(spark, vectors(3, [1] * 400 + [2] * 60 + [5] * 20)), "vec_id", "embedding", "label"), "units")
-    links, full = search(units)
+    links, full, below = search(units)
+    assert below == []
     assert audit_recall(units, links, full, 0.93) >= 0.9
+
+
+def test_labels_below_the_recall_are_compared_whole(spark, monkeypatch):
+    """Lists from poor leaves and no rounds: the audit finds it out, and the result is exact all the same."""
+    source = np.random.default_rng(11)
+    common = source.standard_normal(16) * 3
+    rows = [(k, [float(np.float32(value)) for value in common + source.standard_normal(16)], k % 2) for k in range(900)]
+    monkeypatch.setattr(neighbours, "ROUNDS", 0)
+    monkeypatch.setattr(neighbours, "MORE_TREES", 1)
+    monkeypatch.setattr(neighbours, "TREES", 1)
+    monkeypatch.setattr(neighbours, "BLOCK", 64)
+    units = stored(unit_vectors(frame(spark, rows), "vec_id", "embedding", "label"), "units")
+    assert len(search(units)[2]) == 2
+    assert sorted(tuple(row) for row in near_vectors(frame(spark, rows)).collect()) == expected(rows)
