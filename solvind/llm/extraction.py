@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 from solvind.llm.common import stored
 
 LEAST_SHARE = 0.02  # of a host's votes that a path needs, so that a host has at most 50 paths
+LONGEST_PATH = 400  # characters
+MERGED_SHARE = 0.1  # of a host's votes with which a path is taken beside one that stands elsewhere in the page
 VOTING_SHARE = 0.5  # of a page's best score that a container needs to be voted for
 
 # Element names by role.
@@ -34,6 +37,8 @@ NAMED = re.compile(
     r"|footer|header|masthead|newsletter|subscri\w*|signup|login|search|popup|modal|overlay|pagination|pager|toolbar|skip)(?:$|[-_\s\d])",
     re.I,
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+HEADING_WORDS = re.compile(r"header|masthead|banner|title|alert|notice", re.I)  # say of a heading only that it is one
 ROLES = frozenset("navigation banner contentinfo complementary search alert dialog menu menubar form".split())
 
 _RAW_TAG = rf"<(?P<raw>{RAW.replace(' ', '|')})(?=[\s/>])[^>]*+>"
@@ -57,14 +62,16 @@ class Node:
     holder: int  # number of the nearest container, itself if it is one
     parent: int  # number of the container around `holder`
     linked: bool = False
+    article: bool = False  # in an article
+    titled: bool = False  # in the header of a kept article
     score: float = 0.0
 
 
 @dataclass
 class Page:
     nodes: list[Node] = field(default_factory=list)
-    #: (numbers of the containers around it, its text) of each kept block, in page order
-    blocks: list[tuple[tuple[int, ...], str]] = field(default_factory=list)
+    #: (number of the container around it, its text) of each kept block, in page order
+    blocks: list[tuple[int, str]] = field(default_factory=list)
 
     def best(self) -> float:
         return max((node.score for node in self.nodes), default=0.0)
@@ -86,16 +93,11 @@ def parse(source: str) -> Page:
         line = " ".join("".join(text).split())
         text.clear()
         if line:
-            holders, number = [], page.nodes[stack[-1]].holder
+            number = page.nodes[stack[-1]].holder
             weight = own - linked
             page.nodes[number].score += weight
             page.nodes[page.nodes[number].parent].score += weight / 2 if page.nodes[number].parent != number else 0
-            while True:
-                holders.append(number)
-                if page.nodes[number].parent == number:
-                    break
-                number = page.nodes[number].parent
-            page.blocks.append((tuple(holders), line))
+            page.blocks.append((number, line))
         own = linked = 0
 
     def add(piece: str) -> None:
@@ -107,6 +109,7 @@ def parse(source: str) -> Page:
             linked += len(piece) * node.linked
 
     at = 0
+    named: set[str] = set()  # elements that were opened so far
     unended: set[str] = set()  # elements that have no end tag from here on
     while token := TOKEN.search(source, at):
         add(source[at : token.start()])
@@ -128,7 +131,7 @@ def parse(source: str) -> Page:
             continue
         name = name.lower()
         if token["end"]:
-            place = next((k for k in range(len(stack) - 1, 0, -1) if page.nodes[stack[k]].name == name), 0)
+            place = next((k for k in range(len(stack) - 1, 0, -1) if page.nodes[stack[k]].name == name), 0) if name in named else 0
             if name in BLOCKS:
                 close_block()
             if place and (name in BLOCKS or not any(page.nodes[k].name in CONTAINERS for k in stack[place + 1 :])):
@@ -145,23 +148,36 @@ def parse(source: str) -> Page:
         attributes = _attributes(token["attributes"])
         above = page.nodes[stack[-1]]
         title = " ".join((attributes.get("class", ""), attributes.get("id", "")))
-        plain = name not in ("html", "body", "main", "article") and NAMED.search(title)
+        heading = name in HEADINGS
+        plain = name not in ("html", "body", "main", "article") and NAMED.search(HEADING_WORDS.sub("", title) if heading else title)
         hidden = "hidden" in token["attributes"].lower().split() or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "").lower()
-        keep = above.keep and not (name in DROPPED or plain or hidden or attributes.get("role", "").lower() in ROLES)
+        titled = heading and above.titled  # an article's own header gives its headings
+        keep = (above.keep or titled) and not (name in DROPPED or plain or hidden or attributes.get("role", "").lower() in ROLES)
         number = len(page.nodes)
         if name in CONTAINERS:
             words = () if name in ("html", "body") else sorted(re.sub(r"\d+", "#", title).split())  # pages differ in the body's classes
             step = name + "".join("." + word for word in words)
-            node = Node(name, f"{above.path}/{step}", keep, number, above.holder)
+            node = Node(name, _path(above.path, step), keep, number, above.holder)
         else:
             node = Node(name, above.path, keep, above.holder, above.parent, above.linked or name == "a")
+        node.article = above.article or name == "article"
+        in_article = name == "header" and above.article and above.keep and not plain and not hidden
+        node.titled = in_article or (above.titled and not heading and name not in DROPPED and not plain and not hidden)
         page.nodes.append(node)
+        named.add(name)
         stack.append(number)
     add(source[at:])
     close_block()
     return page
 
 
+def _path(above: str, step: str) -> str:
+    """The path one step down; what is longer than `LONGEST_PATH` begins with its digest instead, so that deep pages stay small."""
+    if len(above) > LONGEST_PATH:
+        above = "~" + hashlib.blake2b(above.encode(errors="replace"), digest_size=12).hexdigest()
+    return f"{above}/{step}"
+
+
 def _close_implied(page: Page, stack: list[int], name: str) -> None:
     """End tags that may be left out: a block ends an open paragraph, an item an open item of its list."""
     for k in range(len(stack) - 1, 0, -1):
@@ -187,18 +203,42 @@ def votes(source: str) -> list[tuple[str, float]]:
     return [(path, score / total) for path, score in by_path.items()]
 
 
-def main_text(source: str, paths: list[str]) -> str:
-    """Text of the containers at the first of `paths` that the page has with text; else of all at its own best path."""
+def main_text(source: str, paths: list[str], merged: int = 1) -> str:
+    """Text of the containers at the first of `paths` that the page has with text; else of all at its own best path.
+
+    Those of the first `merged` paths that neither hold what is chosen nor lie in it are taken too. Containers refer to the
+    one around them and are numbered before what they hold, so each is looked at once however deep it lies.
+    """
     page = parse(source)
-    there = {number for holders, _ in page.blocks for number in holders}
-    for path in paths:
-        chosen = {number for number in there if page.nodes[number].path == path and page.nodes[number].name in CONTAINERS}
-        if chosen:
-            break
-    else:
-        own = max(page.nodes, key=lambda node: node.score).path
-        chosen = {number for number in there if page.nodes[number].path == own and page.nodes[number].name in CONTAINERS} if page.best() > 0 else there
-    return " ".join(line for holders, line in page.blocks if not chosen.isdisjoint(holders))
+    nodes = page.nodes
+    there: set[int] = set()  # containers with text in them
+    for number, _ in page.blocks:
+        while number not in there:
+            there.add(number)
+            number = nodes[number].parent
+    by_path: dict[str, list[int]] = {}
+    for number in sorted(there):
+        by_path.setdefault(nodes[number].path, []).append(number)
+    wanted = [path for path in paths if path in by_path]
+    strong = set(paths[:merged])
+    if not wanted:
+        best = max(nodes, key=lambda node: node.score).path if page.best() > 0 else ""
+        wanted = [best] if best in by_path else [""]
+    around: set[int] = set()  # containers that hold a chosen one
+    inside: set[int] = set()  # chosen ones and what they hold
+    for place, path in enumerate(wanted):
+        here = by_path.get(path, [])
+        if place and (path not in strong or not around.isdisjoint(here) or not inside.isdisjoint(here)):
+            continue
+        inside.update(here)
+        for number in sorted(there):
+            if nodes[number].parent in inside:
+                inside.add(number)
+        for number in here:
+            while nodes[number].parent != number and nodes[number].parent not in around:
+                number = nodes[number].parent
+                around.add(number)
+    return " ".join(line for number, line in page.blocks if number in inside)
 
 
 def host(url: Column) -> Column:
@@ -206,7 +246,8 @@ def host(url: Column) -> Column:
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """(host, paths) from pages (host, html): the paths that get at least `LEAST_SHARE` of the host's votes, most votes first."""
+    """(host, paths, merged) from pages (host, html): the paths that get at least `LEAST_SHARE` of the host's votes, most
+    votes first, and how many of them get `MERGED_SHARE`."""
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -224,8 +265,11 @@ def host_paths(pages: DataFrame) -> DataFrame:
     summed = stored(summed, "votes")
     all_votes = summed.groupBy("host").agg(F.sum("votes").alias("all"))
     kept = summed.join(all_votes, "host").where(F.col("votes") >= LEAST_SHARE * F.col("all"))
-    ranked = kept.groupBy("host").agg(F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("votes"), "path"))).alias("ranked"))
-    return ranked.select("host", F.col("ranked.path").alias("paths"))
+    ranked = kept.groupBy("host").agg(
+        F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("votes"), "path"))).alias("ranked"),
+        F.count_if(F.col("votes") >= MERGED_SHARE * F.col("all")).cast("int").alias("merged"),
+    )
+    return ranked.select("host", F.col("ranked.path").alias("paths"), "merged")
 
 
 def extract_pages(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
@@ -245,9 +289,10 @@ def extract_pages(pages: DataFrame, id_column: str = "page_id", url_column: str
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 some = batch.slice(at, 1000)
-                texts = [main_text(source or "", ways or []) for source, ways in zip(some.column("html").to_pylist(), some.column("paths").to_pylist())]
+                columns = (some.column(name).to_pylist() for name in ("html", "paths", "merged"))
+                texts = [main_text(source or "", ways or [], merged or 1) for source, ways, merged in zip(*columns)]
                 arrays = [some.column("page_id"), some.column("url"), pa.array(texts, pa.string()), pa.array([len(text) for text in texts], pa.int64())]
                 yield pa.RecordBatch.from_arrays(arrays, ["page_id", "url", "text", "n_chars"])
 
-    joined = read.join(paths, "host", "left").select(F.col("page_id").cast("long").alias("page_id"), "url", "html", "paths")
+    joined = read.join(paths, "host", "left").select(F.col("page_id").cast("long").alias("page_id"), "url", "html", "paths", "merged")
     return joined.mapInArrow(extract, "page_id long, url string, text string, n_chars long")

@@ -1,5 +1,8 @@
 """Main text of pages of several layouts."""
 
+import time
+
+import pytest
 from pyspark.sql import functions as F
 
 from solvind.llm.extraction import extract_pages, host, main_text, votes
@@ -87,3 +90,20 @@ def test_rare_layouts_of_a_large_host(spark):
         found = {row.page_id: row.text for row in extract_pages(spark.createDataFrame(some, "page_id long, url string, html string")).collect()}
         for k, _, _ in some:
             assert found[k] == " ".join(f"Part {name(i)} of page {name(k)}, long enough to count." for i in range(3))
+
+
+def test_headings_and_second_containers():
+    page = '<body><article><header><h1>Title</h1><p>12 May</p></header><h2 class="section-header">Part</h2><p>Some long text of it.</p></article></body>'
+    assert main_text(page, ["/body/article"]) == "Title Part Some long text of it."
+    page = '<body><div class="lead">First.</div><div class="text">Then.<div class="in">Inner.</div></div><div class="x">Else.</div></body>'
+    paths = ["/body/div.text", "/body/div.lead", "/body", "/body/div.text/div.in", "/body/div.x"]
+    assert main_text(page, paths, 4) == "First. Then. Inner."
+    assert main_text(page, paths, 1) == "Then. Inner."
+
+
+@pytest.mark.parametrize("tags", ["<div>x", "<span>x", "<div class=a>x<p>", "<ul><li>x"])
+def test_deep_pages(tags):
+    """Unclosed tags cost what their number does, not its square."""
+    started = time.perf_counter()
+    assert main_text(tags * 20_000, []).count("x") > 0
+    assert time.perf_counter() - started < 20
