@@ -18,6 +18,7 @@ KEPT = 48  # values of a sketch
 LONG_LIST = 64  # members from which on a list is compared through leaders
 PLAIN_VALUES = 24  # a sketch with fewer values in short lists also needs the long ones
 LEADER_ROUNDS = 3
+LEADER_GAIN = 0.1  # another round of leaders only if the last one joined as many components for each pair
 BLOCK = 200_000  # hashes that are compared with as many others at once
 BITMAP_BITS = 1 << 23
 _SIGN = np.uint64(1 << 63)
@@ -136,21 +137,20 @@ class _Finder:
 
         return self.wanted(ids.select(F.col("rep").alias("doc_id"))).mapInArrow(sets, "rep long, shingles array<long>")
 
-    def add(self, pairs: DataFrame, label: str) -> bool:
-        """Check pairs and join the components of those that link. False if there was nothing to check."""
+    def add(self, pairs: DataFrame, label: str) -> float:
+        """Check pairs and join the components of those that link; how many components went for each pair that was checked."""
         candidates = stored(self.estimated(pairs), label)
-        if candidates.isEmpty():
-            return False
-        self.join(stored(self.verified(candidates), "links"))
-        return True
+        checked = candidates.count()
+        return self.join(self.verified(candidates)) / checked if checked else 0.0
 
-    def join(self, links: DataFrame) -> None:
-        """Join the components of pairs that are known to link."""
+    def join(self, links: DataFrame) -> int:
+        """Join the components of pairs that are known to link; how many components went into others."""
         ends = [self.labels.select(F.col("rep").alias(s), F.col("c").alias(f"c_{s}")) for s in "ab"]
         between = links.join(ends[0], "a").join(ends[1], "b").select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))
         parts = stored(components(between), "components")
         moved = self.labels.join(parts, F.col("c") == F.col("node"), "left")
         self.labels = stored(moved.select("rep", F.coalesce("component", "c").alias("c")), "labels")
+        return parts.where("node <> component").count()
 
 
 def best_leaders(members: DataFrame) -> DataFrame:
@@ -183,7 +183,7 @@ def near_duplicates(
     Equal sets are one class. Of each class the `kept` smallest shingle hashes are indexed. Lists of up to `LONG_LIST`
     members: each class is compared with the leader, a list's smallest member, that it meets most often, and then
     members that are not connected yet with each other. For longer lists that would be quadratic: only sketches with
-    too few values in short lists to be found there need them. In a few rounds each is compared with the leader of one of
+    too few values in short lists to be found there need them. In a few rounds, as long as they join many, each is compared with the leader of one of
     its lists, and what is left in another component than a list's on whole sets, in blocks of similar size. Every
     other candidate passes the union-sketch estimate and is confirmed on its whole sets. Whether to go on is asked of the data; no list is cut.
 
@@ -212,10 +212,11 @@ def near_duplicates(
     few = F.size("sketch") - F.size("values") < PLAIN_VALUES
     heavy = stored(long.join(reps.select("rep", "sketch"), "rep").where(few).select("rep", "values"), "heavy")
     for place in range(LEADER_ROUNDS):
-        finder.add(next_leaders(heavy, finder.labels, place), "leaders")
+        if finder.add(next_leaders(heavy, finder.labels, place), "leaders") < LEADER_GAIN:
+            break  # what is left does not link to its leaders: the blocks compare it
     rest = stored(_apart(heavy, finder.labels), "apart")
     if not rest.isEmpty():
-        finder.join(stored(_blocked(rest, heavy.select("rep"), finder), "blocks"))
+        finder.join(_blocked(rest, heavy.select("rep"), finder))
     labels = finder.labels
 
     ids = made.select("doc_id", "n", "sum", "mark").join(classes, ["n", "sum", "mark"], "left").join(labels, "rep", "left")
