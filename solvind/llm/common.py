@@ -56,7 +56,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         # Large star: neighbours above a node move to the smallest node near it.
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.unionByName(least.where("m < a").select("a", F.col("m").alias("b"))).distinct()
+        large = large.unionByName(least.where("m < a").select("a", F.col("m").alias("b")))
         # Small star: neighbours below a node, and the node, move to the smallest of them.
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
