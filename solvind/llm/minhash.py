@@ -238,12 +238,19 @@ def _apart(heavy: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(least, (F.col("value") == F.col("split")) & (F.col("c") != F.col("least"))).select("rep").distinct()
 
 
+def _root(above: dict[int, int], part: int) -> int:
+    while part in above:
+        part = above[part]
+    return part
+
+
 def _blocked(left: DataFrame, right: DataFrame, finder: _Finder) -> DataFrame:
-    """Pairs of `left` and `right` (rep), the first part of the second, in different components, whose whole sets are linked.
+    """Links of `left` and `right` (rep), the first part of the second, that join all components that links of whole sets join.
 
     Set sizes fall into classes by powers of the size ratio that a link allows, so a link joins equal or adjacent
     classes. Rows of a class are packed into blocks of about `BLOCK` hashes; one block is compared with another
-    by counting common hashes, which passes on links only. Every pair of blocks has a key of its own.
+    by counting common hashes, which passes on links only, and of those only one for each two components that no other
+    link of the two blocks has joined: no more links than rows. Every pair of blocks has a key of its own.
     """
     ratio, percent = finder.percent / 100, finder.percent
     size_class = F.floor(F.log(F.col("n").cast("double")) / -float(np.log(ratio)) + 1e-9).cast("long")
@@ -270,14 +277,20 @@ def _blocked(left: DataFrame, right: DataFrame, finder: _Finder) -> DataFrame:
                 owners, other_values = owners[order], other_values[order]
                 low, high = np.searchsorted(other_values, values, "left"), np.searchsorted(other_values, values, "right")
                 edges = np.concatenate([[0], np.cumsum(sizes)])
+                above: dict[int, int] = {}  # a component that has joined another in this pair of blocks
                 for k in range(len(ids)):
                     begin, count = low[edges[k] : edges[k + 1]], (high - low)[edges[k] : edges[k + 1]]
                     spots = np.repeat(begin - np.cumsum(count) + count, count) + np.arange(count.sum())
                     both = np.bincount(owners[spots], minlength=len(other_ids))
-                    linked = (100 * both >= percent * (sizes[k] + other_sizes - both)) & (other_parts != parts[k])
-                    if linked.any():
-                        found = other_ids[linked]
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), ids[k])), pa.array(found)], ["a", "b"])
+                    linked = np.flatnonzero((100 * both >= percent * (sizes[k] + other_sizes - both)) & (other_parts != parts[k]))
+                    joined = []
+                    for other_part, place in zip(*np.unique(other_parts[linked], return_index=True)):
+                        low_part, high_part = sorted((_root(above, int(parts[k])), _root(above, int(other_part))))
+                        if low_part != high_part:
+                            above[high_part] = low_part
+                            joined.append(linked[place])
+                    if joined:
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(joined), ids[k])), pa.array(other_ids[joined])], ["a", "b"])
 
     others = stored(packed(sets, "other"), "others")
     counts = others.select("size", F.col("blocks").alias("of")).distinct()
