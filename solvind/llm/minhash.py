@@ -19,6 +19,7 @@ LONG_LIST = 64  # members from which on a list is compared through leaders
 PLAIN_VALUES = 24  # a sketch with fewer values in short lists also needs the long ones
 LEADER_ROUNDS = 3
 LEADER_GAIN = 0.1  # another round of leaders only if the last one joined as many components for each pair
+CHUNK_BYTES = 250_000  # text that a worker turns into shingles at once
 BLOCK = 200_000  # hashes that are compared with as many others at once
 BITMAP_BITS = 1 << 23
 _SIGN = np.uint64(1 << 63)
@@ -26,7 +27,7 @@ _SIGN = np.uint64(1 << 63)
 
 def shingle_sets(texts: pa.Array, width: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, rows, shingle hashes, hashes before each text) of runs of texts; ascending and distinct in each text."""
-    for row, rows, data, offsets in chunks(texts):
+    for row, rows, data, offsets in chunks(texts, CHUNK_BYTES):
         yield row, rows, *distinct(*shingles(*words(data, offsets), width))
 
 
