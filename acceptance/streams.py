@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from acceptance.base import case, messages, over_weather, weather
@@ -189,3 +190,32 @@ def stream_compacted_landing(spark, sf_dir):
         F.sum("wind_deg").alias("grados"),
         F.countDistinct("_file").alias("archivos"),
     )
+
+
+class Killed(RuntimeError):
+    """Stands for a lost driver."""
+
+
+@case(over_weather(f"""SELECT dt, lat, lon, CAST(1 AS BIGINT) AS filas, CAST(year AS INTEGER) AS year, CAST(month AS INTEGER) AS month
+        FROM weather WHERE {READABLE} GROUP BY ALL"""))
+def stream_consolidate_exactly_once(spark, sf_dir):
+    """Landed files go to history as a stream. A run dies between a batch's write and its entry in the ledger; the next ones
+    repeat that batch, take the rest, and find nothing new: each observation is there once."""
+    path, history, checkpoint = (fresh_path(spark, name) for name in ("landing", "history", "checkpoint"))
+    _many_batches(spark, sf_dir, path, fresh_path(spark, "ingest"), parts=6)
+    files = len(spark.read.parquet(path).inputFiles())
+
+    def die(batch_id, report):
+        if batch_id == 1:
+            raise Killed
+
+    def run(on_written=None):
+        jobs.consolidate_stream(spark, path, history, checkpoint, max_files=-(-files // 4), on_written=on_written).awaitTermination()
+
+    try:
+        run(die)
+    except StreamingQueryException:
+        pass
+    run()
+    run()
+    return read_table(spark, history, HISTORY_TABLE).groupBy("dt", "lat", "lon", "year", "month").agg(F.count(F.lit(1)).alias("filas"))

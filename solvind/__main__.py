@@ -27,6 +27,13 @@ def _parser() -> argparse.ArgumentParser:
     units.add_argument("--temp-unit", choices=("C", "K"), default="C")
 
     job.add_parser("consolidate", parents=[landing, units, aside], help="landing -> history")
+    follow = job.add_parser("follow", parents=[units, aside], help="landing table -> history, as a stream that reads each file once")
+    follow.add_argument("--landing", required=True, help="landing table of the message stream")
+    follow.add_argument("--history", required=True)
+    follow.add_argument("--checkpoint", required=True)
+    follow.add_argument("--every", help='time between batches, such as "10 minutes"; without it, take what is there and stop')
+    follow.add_argument("--max-files", type=int, help="files a batch")
+    follow.add_argument("--corrections", action="store_true", help="later deliveries replace stored observations that differ")
     update = job.add_parser("update", parents=[landing, units, aside], help="landing -> history -> Silver -> Gold, touched months")
     update.add_argument("--silver", required=True)
     update.add_argument("--gold", required=True)
@@ -87,6 +94,12 @@ def main(arguments: list[str] | None = None) -> None:
             spark, args.servers, args.topics, args.landing, args.checkpoint, args.every, args.retention, args.quarantine, **limits
         ).awaitTermination()
         return
+    elif args.job == "follow":
+        jobs.consolidate_stream(
+            spark, args.landing, args.history, args.checkpoint, args.every, None, args.temp_unit, args.quarantine,
+            args.corrections, args.max_files,
+        ).awaitTermination()
+        return
     elif args.job == "compact":
         report = jobs.compact_landing(spark, args.landing, args.target_mb << 20, 3600 * args.grace_hours)
     else:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from solvind.workspace import staged_path
@@ -40,15 +40,16 @@ def write_table(
     return {"rows": seen.get.get("rows", 0)}
 
 
-def stage(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+def stage(df: DataFrame, label: str, reader: SparkSession | None = None) -> tuple[DataFrame, int]:
     """Store an intermediate result in the shared folder and read it back: (frame, rows).
 
     Unlike cached blocks, the copy survives lost executors, and each reader loads only the columns it
-    needs. It stays until the job that runs ends (`workspace.staging`).
+    needs. It stays until the job that runs ends (`workspace.staging`). The session that reads it back is that of `df`
+    unless `reader` is given: a micro-batch has a session of its own, in which queries are not re-planned at run time.
     """
     path = staged_path(df.sparkSession, label)
     rows = write_table(df, path)["rows"]
-    return df.sparkSession.read.schema(df.schema).parquet(path), rows
+    return (reader or df.sparkSession).read.schema(df.schema).parquet(path), rows
 
 
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> dict[str, int]:

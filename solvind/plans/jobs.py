@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -22,10 +22,11 @@ from solvind.operators.quality import require_fields, require_rows
 from solvind.operators.retention import cutoff_day, drop_expired, expire_folders
 from solvind.plans.gold import write_gold
 from solvind.plans.refresh import only_touched, refresh_gold, touched_months, within_months
-from solvind.schemas import ENVELOPE, HISTORY_PARTITIONS, HISTORY_TABLE, SILVER
+from solvind.schemas import ENVELOPE, HISTORY_PARTITIONS, HISTORY_TABLE, LANDING_STREAM, SILVER
 from solvind.sources import message_source, read_json_history, read_landing, read_table
 from solvind.sources.tables import load_or_empty
 from solvind.streaming.ingest import landing_rows, quarantine_rows, start_ingest
+from solvind.streaming.ledger import once_per_batch, stream_id
 from solvind.workspace import staging
 
 LANDING_KINDS = ("json", "avro", "stream")
@@ -58,11 +59,17 @@ def landing_as_history(
     else:
         options = {"modifiedAfter": f"{since}T00:00:00"} if since else {}
         rows = normalise(unwrap_envelope(read_landing(spark, path, kind, ENVELOPE, **options)), city, temp_unit)
+    return _history_columns(rows)
+
+
+def _history_columns(rows: DataFrame) -> DataFrame:
     possible = F.when(is_plausible(F.col("dt")), F.col("dt"))  # other times have no month, and may overflow
     return add_time_parts(rows.withColumn("_possible", possible), "_possible").select(*HISTORY_TABLE.fieldNames())
 
 
-def _unique_batch(deliveries: DataFrame, quarantine: str | None) -> tuple[DataFrame, dict[str, int]]:
+def _unique_batch(
+    deliveries: DataFrame, quarantine: str | None, mode: str = "append", reader: SparkSession | None = None
+) -> tuple[DataFrame, dict[str, int]]:
     """Latest delivery per observation, staged, with the counts of rows read and kept.
 
     Rows whose time cannot be true are no observations: they are counted as `implausible` and, when a `quarantine`
@@ -70,7 +77,7 @@ def _unique_batch(deliveries: DataFrame, quarantine: str | None) -> tuple[DataFr
     """
     seen = Observation()
     observed = deliveries.observe(seen, F.count(F.lit(1)).alias("read"))
-    unique_rows, unique = stage(dedup(observed), "batch")
+    unique_rows, unique = stage(dedup(observed), "batch", reader)
     possible = F.col("dt").isNull() | is_plausible(F.col("dt"))
     counts = {"read": seen.get.get("read", 0), "unique": unique}
     aside = unique_rows.filter(~possible)
@@ -78,7 +85,7 @@ def _unique_batch(deliveries: DataFrame, quarantine: str | None) -> tuple[DataFr
     if implausible:
         counts |= {"implausible": implausible}
         if quarantine:
-            write_table(aside.drop(*HISTORY_PARTITIONS), quarantine, mode="append")
+            write_table(aside.drop(*HISTORY_PARTITIONS), quarantine, mode=mode)
     return unique_rows.filter(possible), counts
 
 
@@ -98,6 +105,44 @@ def consolidate(deliveries: DataFrame, history_path: str, quarantine: str | None
         return {**counts, **_to_history(batch, history_path, corrections)}
 
 
+def consolidate_stream(
+    spark: SparkSession,
+    landing: str,
+    history_path: str,
+    checkpoint: str,
+    every: str | None = None,
+    city: str | None = None,
+    temp_unit: str = "C",
+    quarantine: str | None = None,
+    corrections: bool = False,
+    max_files: int | None = None,
+    on_written: Callable[[int, dict[str, int]], None] | None = None,
+) -> StreamingQuery:
+    """`consolidate` as a stream: each file that the ingest has landed goes to history once, found by the sink's log.
+
+    Nothing that was read before is read again, so a run costs what has arrived since. `every=None` takes what is there, in
+    batches of `max_files` files, and stops. Batches are repeatable: history takes rows by key, and what is set aside has a
+    folder of its own for each batch (`stream=`, `batch=`), written over by a repeat. A finished batch is in the ledger beside history (`read_ledger`)
+    and is not done again, so a run may die at any point. Several streams must not write to one history at a time.
+
+    A file that compaction or retention has removed before this stream read it stops the run with an error; `consolidate` over
+    `landing_as_history`, which reads compacted files too, then catches up.
+    """
+
+    def work(batch: DataFrame, batch_id: int) -> dict[str, int]:
+        aside = f"{quarantine}/stream={stream_id(spark, checkpoint)}/batch={batch_id}" if quarantine else None
+        with staging(spark):
+            unique, counts = _unique_batch(batch, aside, "overwrite", spark)
+            return {**counts, **_to_history(unique, history_path, corrections)}
+
+    files = spark.readStream.schema(LANDING_STREAM)
+    landed = (files.option("maxFilesPerTrigger", max_files) if max_files else files).parquet(landing)
+    rows = _history_columns(normalise(landed, city or city_from_topic(F.col("topic")), temp_unit))
+    run = once_per_batch(spark, history_path, checkpoint, work, on_written)
+    writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+
+
 def _with_layout(silver: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     extra = [name for name in partition_by if name not in silver.columns]
     return add_time_parts(silver).select(*SILVER.fieldNames(), *extra) if extra else silver

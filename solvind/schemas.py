@@ -103,6 +103,9 @@ SILVER = struct(
 HISTORY_TABLE = T.StructType(SILVER.fields + struct(ingestion_timestamp=TIMESTAMP, year=INT, month=INT).fields)
 HISTORY_PARTITIONS = ("year", "month")
 
+# Micro-batches that have gone into a table: the stream's identity, its batch number, and the counts as JSON.
+LEDGER = struct(report=STRING, stream=STRING, batch=LONG)
+
 # Identity of an observation.
 OBSERVATION_KEY = ("dt", "lat", "lon")
 

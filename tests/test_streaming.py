@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from solvind.plans import jobs
 from solvind.schemas import TOPIC_ROWS
 from solvind.sources import message_source, read_table
-from solvind.streaming import ingest
+from solvind.streaming import ingest, ledger
 from tests.support import epoch, values
 
 
@@ -90,6 +90,49 @@ def test_landing_table_feeds_history(spark, lake, folder):
         jobs.landing_as_history(spark, lake.landing, "csv")
 
 
+def test_stream_consolidation_survives_a_kill_and_a_replay(spark, lake, folder):
+    arrival = F.timestamp_seconds(F.col("data.dt") + 60)
+    for day in (1, 2, 3):
+        lake.publish(message(epoch(2024, 1, day)), message(epoch(2024, 1, day, 13), temp=99.0), message(epoch(2024, 1, 1)))
+    lake.drain(ingest.landing_rows(lake.messages(), arrival))
+    landing, history, checkpoint, aside = (folder(name) for name in ("mistaken", "history", "follow", "aside"))
+    mistaken = F.when(F.col("temp") == 99, F.col("dt") * 1000).otherwise(F.col("dt"))  # milliseconds
+    lake.landed().withColumn("dt", mistaken).coalesce(1).write.partitionBy(*ingest.LANDING_PARTITIONS).parquet(landing)
+
+    def run(on_written=None):
+        options = {"quarantine": aside, "max_files": 1, "on_written": on_written}
+        jobs.consolidate_stream(spark, landing, history, checkpoint, **options).awaitTermination()
+
+    def die(batch_id, report):
+        if batch_id == 1:
+            raise RuntimeError("killed")
+
+    with pytest.raises(Exception, match="killed"):
+        run(die)
+    before = values(ledger.read_ledger(spark, history), "batch")
+    assert before == [(0,)]
+    run()
+    run()
+    assert sorted(values(read_table(spark, history), "dt")) == [(epoch(2024, 1, day),) for day in (1, 2, 3)]
+    found = ledger.read_ledger(spark, history)
+    assert sorted(values(found, "batch")) == [(batch,) for batch in range(found.count())]
+    assert sum(json.loads(text)["read"] for (text,) in values(found, "report")) == lake.landed().count()
+    bad = [epoch(2024, 1, day, 13) * 1000 for day in (1, 2, 3)]
+    assert sorted(values(read_table(spark, aside), "dt")) == [(at,) for at in bad]
+
+
+def test_a_batch_in_the_ledger_is_not_done_again(spark, folder):
+    table, checkpoint, calls = folder("table"), folder("checkpoint"), []
+    for name in ("one", "two"):
+        spark.createDataFrame([(name,)], "id string").coalesce(1).write.json(f"{checkpoint}-{name}/metadata")
+        run = ledger.once_per_batch(spark, table, f"{checkpoint}-{name}", lambda batch, at: calls.append(at) or {"rows": at})
+        assert ledger.read_ledger(spark, table).count() == len(calls)
+        for batch_id in (0, 1, 1, 0, 2):
+            run(spark.range(1), batch_id)
+    assert calls == [0, 1, 2, 0, 1, 2]  # a new checkpoint counts its batches anew
+    assert sorted(values(ledger.read_ledger(spark, table), "stream", "batch", "report"))[:2] == [("one", 0, '{"rows": 0}'), ("one", 1, '{"rows": 1}')]
+
+
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         message_source(spark, "kafka", servers="host:9092", topics="a,b")
