@@ -10,7 +10,7 @@ from solvind.llm.common import SPACES, ascii_lower, stored
 
 PLACES = 64
 ROWS_PER_RANGE = 500_000
-_NONE = (1 << 63) - 1  # above all ranks: a place of a text without words
+_BOTH, _NEITHER = 2, 3  # units of both sides, and of none: a text without words; 0 and 1 are units of one side
 
 
 def _samples(terms: DataFrame, keys: list[str]) -> DataFrame:
@@ -23,15 +23,20 @@ def _samples(terms: DataFrame, keys: list[str]) -> DataFrame:
     so a change of weight touches only the units it adds or takes. Both sides share the ranks.
     """
     units = terms.select(*keys, "term", "weight_0", "weight_1", F.explode(F.expr("sequence(1L, greatest(weight_0, weight_1, 1L))")).alias("unit"))
-    absent = lambda side: F.when(F.col("unit") <= F.col(f"weight_{side}"), F.lit(0)).otherwise(F.lit(_NONE)).cast("long")
-    units = units.select(*keys, F.xxhash64("term", "unit").alias("unit"), absent(0).alias("absent_0"), absent(1).alias("absent_1"))
+    inside = [F.col("unit") <= F.col(f"weight_{side}") for side in (0, 1)]
+    part = F.when(inside[0] & inside[1], _BOTH).when(inside[0], 0).when(inside[1], 1).otherwise(_NEITHER)
+    units = units.select(*keys, part.alias("part"), F.xxhash64("term", "unit").alias("unit"))
     rank = lambda place: F.shiftrightunsigned(F.xxhash64("unit", F.lit(place)), 1)
-    least = [F.min(rank(place).bitwiseOR(F.col(f"absent_{side}"))).alias(f"least_{side}_{place}") for side in (0, 1) for place in range(PLACES)]
-    picked = units.groupBy(*keys).agg(*least)
+    # What the sides have in common is ranked once: a unit touches one minimum for each place, and a few rows make the sides' minima.
+    parts = units.groupBy(*keys, "part").agg(*[F.min(rank(place)).alias(f"least_{place}") for place in range(PLACES)])
+    least = [
+        F.min(F.when(F.col("part").isin(_BOTH, side), F.col(f"least_{place}"))).alias(f"least_{side}_{place}") for side in (0, 1) for place in range(PLACES)
+    ]
+    picked = parts.groupBy(*keys).agg(*least)
 
     def codes(side: int) -> Column:
         found = [F.lit(place << 16).bitwiseOR(F.col(f"least_{side}_{place}").bitwiseAND(F.lit(0xFFFF)).cast("int")) for place in range(PLACES)]
-        return F.when(F.col(f"least_{side}_0") == _NONE, F.array().cast("array<int>")).otherwise(F.array(*found))
+        return F.when(F.col(f"least_{side}_0").isNull(), F.array().cast("array<int>")).otherwise(F.array(*found))
 
     return picked.select(*keys, codes(0).alias("codes"), codes(1).alias("edited"))
 

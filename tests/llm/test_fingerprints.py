@@ -7,7 +7,7 @@ from hashlib import sha256
 
 import numpy as np
 
-from solvind.llm.fingerprints import fingerprint_edits
+from solvind.llm.fingerprints import PLACES, _samples, fingerprint_edits
 
 
 def jaccard(a, b):
@@ -75,3 +75,14 @@ def test_odd_rows(documents, odd_rows):
 def test_no_python_runs(documents, prose):
     plan = fingerprint_edits(documents([(k, prose(20)) for k in range(9)]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_a_unit_is_ranked_once_for_both_sides(spark):
+    terms = spark.createDataFrame([(1, 5, 2, 1)], "doc_id long, term long, weight_0 long, weight_1 long")
+    spark.conf.set("spark.sql.debug.maxToStringFields", 1000)
+    try:
+        plan = _samples(terms, ["doc_id"])._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    of_units = [line for line in plan.splitlines() if "Aggregate [" in line][-1]
+    assert of_units.count("min(") == PLACES
