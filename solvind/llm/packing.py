@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -18,6 +19,7 @@ OPEN_BINS = 1024
 PIECES_PER_TASK = 200_000
 SORTED_TOGETHER = 2_000
 CACHED_UNITS = 3_000_000
+CHUNK_BYTES = 500_000  # text that a worker turns into ids at once
 PIECE_NAMES = ["doc_id", "piece", "start", "length", "ids_crc32"]
 PIECE_TYPES = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
 
@@ -173,7 +175,8 @@ _tokens: dict[str, UnitTokens] = {}
 
 
 def unit_tokens(path: str) -> UnitTokens:
-    """One per worker process."""
+    """One per worker process, which tokenizes in one thread: a task has one core, and each thread would keep memory of its own."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     if path not in _tokens:
         _tokens[path] = UnitTokens(path)
     return _tokens[path]
@@ -192,7 +195,7 @@ def token_pieces(
         tokens = unit_tokens(tokenizer)
         for batch in batches:
             numbers = batch.column(0)
-            for row, rows, data, offsets in chunks(batch.column(1)):
+            for row, rows, data, offsets in chunks(batch.column(1), CHUNK_BYTES):
                 ids, before = tokens.chunk(data, offsets)
                 ids = np.insert(ids, before[1:], 0)  # the separator
                 before = before + np.arange(rows + 1)

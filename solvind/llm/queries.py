@@ -95,7 +95,7 @@ def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 
 def on_workers(spark: SparkSession) -> None:

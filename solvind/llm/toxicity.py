@@ -24,6 +24,7 @@ FREQUENT = 512  # terms kept as rows over all examples
 FIRST_OPENED = 4
 TOGETHER = 128  # texts whose frequent terms are read together
 THRESHOLD = 0.7
+CHUNK_BYTES = 500_000  # text whose terms a worker counts at once
 _U = np.uint64
 _LETTER = np.zeros(256, bool)
 _LETTER[48:58] = _LETTER[97:123] = _LETTER[128:] = True
@@ -221,7 +222,7 @@ def train(docs: DataFrame, labels: DataFrame, sampled: int = SAMPLED, id_column:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for _, _, data, offsets in chunks(batch.column("text")):
+            for _, _, data, offsets in chunks(batch.column("text"), CHUNK_BYTES):
                 keys, before = terms_of(data, offsets)
                 found += [np.unique(keys[a:b], return_counts=True) for a, b in zip(before[:-1], before[1:])]
             terms = pa.array([keys.view(np.int64) for keys, _ in found], pa.list_(pa.int64()))
@@ -263,11 +264,13 @@ def score(docs: DataFrame, index: Examples, id_column: str = "doc_id", text_colu
 
     `evidence` lists the neighbours' ids and cosines, nearest first. A text without any term of an example, so
     also a null or empty one, gets the share of toxic ones among such examples. Equal term counts are scored once a batch.
+    The index is broadcast, so that a worker holds it once, not also as the bytes of each task's function.
     """
+    shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = list(_scores(index, batch.column("text")))
+            found = list(_scores(shared.value, batch.column("text")))
             kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())]))
             columns = [batch.column("doc_id"), pa.array([value for value, _ in found], pa.float64()), pa.array([near for _, near in found], kind)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "score", "evidence"])
@@ -278,10 +281,11 @@ def score(docs: DataFrame, index: Examples, id_column: str = "doc_id", text_colu
 
 def without_toxic(docs: DataFrame, index: Examples, threshold: float = THRESHOLD, text_column: str = "text") -> DataFrame:
     """The rows of `docs`, all columns, whose score is below `threshold`. Only texts leave the JVM."""
+    shared = docs.sparkSession.sparkContext.broadcast(index)
 
     @F.arrow_udf("double")
     def toxicity(texts: pa.Array) -> pa.Array:
-        return pa.array([value for value, _ in _scores(index, texts)], pa.float64())
+        return pa.array([value for value, _ in _scores(shared.value, texts)], pa.float64())
 
     return docs.where(toxicity(F.col(text_column)) < threshold)
 
@@ -289,7 +293,7 @@ def without_toxic(docs: DataFrame, index: Examples, threshold: float = THRESHOLD
 def _scores(index: Examples, texts: pa.Array) -> Iterator[tuple[float, list[dict]]]:
     """(score, evidence) of each text; equal term counts are scored once a batch."""
     seen: dict[bytes, tuple[float, list[dict]]] = {}
-    for _, _, data, offsets in chunks(texts):
+    for _, _, data, offsets in chunks(texts, CHUNK_BYTES):
         keyed = [(places.tobytes() + counts.tobytes(), (places, counts)) for places, counts in _counted(index.terms, data, offsets)]
         fresh = {key: pair for key, pair in keyed if key not in seen}
         for key, (value, best, cosine) in zip(fresh, index.scores(list(fresh.values()))):

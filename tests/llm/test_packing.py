@@ -1,5 +1,6 @@
 """Tokens against the tokenizer itself, sequences against the packing rules."""
 
+import tracemalloc
 from collections import defaultdict
 from zlib import crc32
 
@@ -10,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from solvind.llm.packing import OpenBins, UnitTokens, pack_documents
+from solvind.llm.packing import OpenBins, UnitTokens, pack_documents, token_pieces
 from solvind.llm.queries import PACKING_TOKENIZER, tokenizer_path
 from solvind.llm.textgrid import chunks
 
@@ -85,3 +86,27 @@ def test_sequences(documents, odd_rows, prose, tokenizer):
         assert sum(row.length for row in mine) == len(ids)
     assert len(pieces[10]) == 2 * len({row.piece for row in pieces[10]})
     assert pack_documents(documents([]), tokenizer_path(PACKING_TOKENIZER)).count() == 0
+
+
+def test_a_worker_holds_a_small_part_of_a_batch_at_once(spark, prose):
+    class Docs:
+        """Gives the function that runs on batches."""
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run
+
+    cut = token_pieces(Docs(), tokenizer_path(PACKING_TOKENIZER))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2_000)), pa.array([prose(300) for _ in range(2_000)])], ["doc_id", "text"])
+    assert batch.nbytes > 2_500_000
+    for _ in cut(iter([batch.slice(0, 100)])):
+        pass  # the tokenizer is loaded
+    tracemalloc.start()
+    try:
+        rows = sum(part.num_rows for part in cut(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == 2_000 and peak < 50_000_000
