@@ -8,7 +8,7 @@ import corpus_pipeline
 from acceptance.check import oracle_connection
 from solvind.llm import minhash, mixing, quality, toxicity
 from solvind.llm.common import components, stored
-from solvind.llm.queries import QUERIES, SQL
+from solvind.llm.queries import QUERIES, SQL, on_workers
 
 SF_DIR = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="driver tables are absent")
@@ -63,3 +63,9 @@ def test_queries_agree_with_sql(spark, name):
     relation = oracle_connection(SF_DIR).sql(SQL[name])
     assert sorted(frame.columns) == sorted(relation.columns)
     assert sorted(map(tuple, frame.select(*relation.columns).collect()), key=repr) == sorted(relation.fetchall(), key=repr)
+
+
+def test_rows_move_in_small_batches(spark):
+    on_workers(spark)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 2 << 20
+    assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 1024
